@@ -11,9 +11,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Spark itself does not call a partition skewed below this size, and a table this small
@@ -23,7 +22,6 @@ SMALL_TABLE_BYTES = 256 << 20
 # Position of a row in its scan, added before any shuffle: it deals the rows of a hot key
 # out evenly, also when they are copies of each other, and is the same when a task reruns.
 DEAL = "_deal"
-_PART = "_part"
 
 
 @dataclass(frozen=True)
@@ -101,22 +99,21 @@ def lookup(
 
     With hot keys, ``left`` must have been through ``deal_rows``.
     """
-    same_key: list[Column] = [left[key] == right[right_key]]
+    # A name of its own: one lookup table may be joined to both ends of the same edges.
+    right = right.withColumnRenamed(right_key, "_key")
+    match = F.col(key) == F.col("_key")
     if hot:
         parts = F.broadcast(hot.table(left))
         left = (
-            left.join(parts, left[key] == F.col("_hot_key"), "left")
-            .withColumn(_PART, F.coalesce(F.pmod(DEAL, "_parts"), F.lit(0)))
+            left.join(parts, F.col(key) == F.col("_hot_key"), "left")
+            .withColumn("_part", F.coalesce(F.pmod(DEAL, "_parts"), F.lit(0)))
             .drop("_hot_key", "_parts")
         )
         every_part = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
         right = (
-            right.join(parts, right[right_key] == F.col("_hot_key"), "left")
-            .withColumn("_right_part", F.explode(every_part).cast("long"))
+            right.join(parts, F.col("_key") == F.col("_hot_key"), "left")
+            .withColumn("_key_part", F.explode(every_part).cast("long"))
             .drop("_hot_key", "_parts")
         )
-        same_key = [left[key] == right[right_key], left[_PART] == right["_right_part"]]
-    joined = left.join(right, reduce(Column.__and__, same_key), how)
-    if how in ("left_anti", "left_semi"):
-        return joined.drop(_PART)
-    return joined.drop(right[right_key]).drop(_PART, "_right_part")
+        match = match & (F.col("_part") == F.col("_key_part"))
+    return left.join(right, match, how).drop("_key", "_part", "_key_part")

@@ -61,4 +61,4 @@ class EdgeQuery:
         """Run the query, write results and provenance, and sum up what was written."""
         df = self.query(spark)
         write_results(df, folder, format, overwrite, parameters=self.parameters())
-        return summarize(read_results(spark, folder, df, format))
+        return summarize(read_results(spark, folder, df, format), self.order_by)

@@ -9,7 +9,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+
+from edgelens.operators.ordering import ordered
 
 RESULTS = "results"
 PROVENANCE = "provenance"
@@ -81,9 +83,14 @@ class Summary:
     first_rows: DataFrame
 
 
-def summarize(written: DataFrame, n: int = 5) -> Summary:
-    """Row count and first rows of written results; the query itself is not run again."""
-    return Summary(written.count(), written.limit(n))
+def summarize(
+    written: DataFrame, order_by: str | list[Column] | None = None, n: int = 5
+) -> Summary:
+    """Row count and first rows of written results; the query itself is not run again.
+
+    Files are not read in the order of their rows, so the first rows need ``order_by``.
+    """
+    return Summary(written.count(), ordered(written, order_by).limit(n))
 
 
 def _hadoop(spark: SparkSession, folder: str):

@@ -1,4 +1,4 @@
-"""Column expressions shared by every operator: scores, bounds and geometry."""
+"""SQL expressions shared by every operator: scores, bounds and geometry."""
 
 from edgelens.functions.bounds import Bounds
 from edgelens.functions.geometry import Resolution, box_end, scale_to_float, scale_to_integer

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 from numbers import Integral
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 @dataclass(frozen=True)
 class Bounds:
-    """Bounds on a pair of values, one for each end of an edge.
+    """Bounds on a pair of values, one for each end of an edge, as SQL conditions.
 
     ``*_both`` must hold at both ends, ``*_either`` at one end at least. The
     ``*_both`` bounds always reject NULL, also when they are as wide as can be:
@@ -26,41 +22,37 @@ class Bounds:
     max_either: float
     whole_numbers: bool = True
 
-    def endpoint(self, value: Column) -> Column:
+    def endpoint(self, column: str) -> str:
         """The part of the condition that one end decides alone."""
-        return (value >= self._at_least(self.min_both)) & (value <= self._at_most(self.max_both))
+        return f"{column} BETWEEN {self._low(self.min_both)} AND {self._high(self.max_both)}"
 
-    def across(self, a: Column, b: Column) -> list[Column]:
+    def across(self, a: str, b: str) -> list[str]:
         """The clauses that need both ends, leaving out those ``endpoint`` implies."""
         clauses = []
         if self.min_either > self.min_both:
-            low = self._at_least(self.min_either)
-            clauses.append((a >= low) | (b >= low))
+            low = self._low(self.min_either)
+            clauses.append(f"({a} >= {low} OR {b} >= {low})")
         if self.max_either < self.max_both:
-            high = self._at_most(self.max_either)
-            clauses.append((a <= high) | (b <= high))
+            high = self._high(self.max_either)
+            clauses.append(f"({a} <= {high} OR {b} <= {high})")
         return clauses
 
-    def condition(self, a: Column, b: Column) -> Column:
-        """The whole test on a pair of values."""
-        return reduce(Column.__and__, [self.endpoint(a), self.endpoint(b), *self.across(a, b)])
+    def condition(self, a: str, b: str) -> str:
+        """The whole test on a pair of columns."""
+        return " AND ".join([self.endpoint(a), self.endpoint(b), *self.across(a, b)])
 
     # A double literal would make Spark cast a bigint column and lose the pushdown
     # into the scan, so bounds on whole numbers become the equivalent integer bound.
 
-    def _at_least(self, bound: float) -> Column:
+    def _low(self, bound: float) -> str:
         return self._literal(bound, math.ceil)
 
-    def _at_most(self, bound: float) -> Column:
+    def _high(self, bound: float) -> str:
         return self._literal(bound, math.floor)
 
-    def _literal(self, bound: float, to_whole) -> Column:
+    def _literal(self, bound: float, to_whole) -> str:
+        if math.isinf(bound):
+            return f"double('{bound}')"
         if not self.whole_numbers:
-            return F.lit(float(bound))
-        if isinstance(bound, Integral):
-            whole = int(bound)
-        elif math.isinf(bound):
-            whole = 2**63 if bound > 0 else -(2**63)
-        else:
-            whole = to_whole(bound)
-        return F.lit(whole).cast("long") if -(2**63) <= whole < 2**63 else F.lit(float(bound))
+            return f"{float(bound)!r}D"
+        return str(int(bound) if isinstance(bound, Integral) else to_whole(bound))

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from enum import IntEnum
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 class Resolution(IntEnum):
     """Voxel size in nanometres of the volume an edge table was computed on."""
@@ -37,16 +34,16 @@ class Resolution(IntEnum):
         return cls(int(digits))
 
 
-def scale_to_float(coordinate: Column, res: Resolution | int) -> Column:
+def scale_to_float(coordinate: str, res: Resolution | int) -> str:
     """Full-resolution coordinate as a double."""
-    return F.lit(float(2 ** Resolution(res).scale)) * coordinate
+    return f"{float(2 ** Resolution(res).scale)}D * {coordinate}"
 
 
-def scale_to_integer(coordinate: Column, res: Resolution | int) -> Column:
+def scale_to_integer(coordinate: str, res: Resolution | int) -> str:
     """Full-resolution coordinate as a bigint; fractional input rounds half away from zero."""
-    return F.round(F.lit(Resolution(res).factor) * coordinate).cast("long")
+    return f"bigint(round({Resolution(res).factor} * {coordinate}))"
 
 
-def box_end(start: Column, size: Column) -> Column:
+def box_end(start: str, size: str) -> str:
     """Exclusive upper corner of a box given its lower corner and extent."""
-    return start + size
+    return f"{start} + {size}"

@@ -1,30 +1,27 @@
-"""Directional scores and how the two directions combine into one."""
+"""Directional scores and how the two directions combine into one, as SQL expressions."""
 
 from __future__ import annotations
 
 from enum import Enum
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def nan_to_null(score: Column) -> Column:
+def nan_to_null(score: str) -> str:
     """NaN carries no ranking information; treat it as a missing score."""
-    return F.when(~F.isnan(score), score)
+    return f"CASE WHEN NOT isnan({score}) THEN {score} END"
 
 
-def _both_present(a: Column, b: Column, combined: Column) -> Column:
-    return F.when(a.isNotNull() & b.isNotNull(), combined)
+def _if_both_present(a: str, b: str, combined: str) -> str:
+    return f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {combined} END"
 
 
-def strict_greatest(a: Column, b: Column) -> Column:
-    """Larger of two values, NULL if either is NULL (``F.greatest`` skips NULLs)."""
-    return _both_present(a, b, F.greatest(a, b))
+def strict_greatest(a: str, b: str) -> str:
+    """Larger of two values, NULL if either is NULL (``greatest`` alone skips NULLs)."""
+    return _if_both_present(a, b, f"greatest({a}, {b})")
 
 
-def strict_least(a: Column, b: Column) -> Column:
-    """Smaller of two values, NULL if either is NULL (``F.least`` skips NULLs)."""
-    return _both_present(a, b, F.least(a, b))
+def strict_least(a: str, b: str) -> str:
+    """Smaller of two values, NULL if either is NULL (``least`` alone skips NULLs)."""
+    return _if_both_present(a, b, f"least({a}, {b})")
 
 
 class ScoreFn(str, Enum):
@@ -33,5 +30,5 @@ class ScoreFn(str, Enum):
     OPTIMISTIC = "greatest"
     PESSIMISTIC = "least"
 
-    def __call__(self, a: Column, b: Column) -> Column:
+    def of(self, a: str, b: str) -> str:
         return strict_greatest(a, b) if self is ScoreFn.OPTIMISTIC else strict_least(a, b)

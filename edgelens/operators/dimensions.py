@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import box_end
-from edgelens.operators.skew import HotKeys, deal_rows, lookup
+from edgelens.operators.skew import HotKeys, deal_rows, is_small, lookup
 from edgelens.sources import TableSet
 
 _AXES = ("x", "y", "z")
@@ -29,53 +29,58 @@ ATTRIBUTES = (
 )
 
 
+# A supervoxel dimension has one row of some 30 numbers per row of ``objinfo``. While that
+# table is this small as stored, the dimension is sent to every executor and the edges need
+# no shuffle; beyond it, both are shuffled on the supervoxel.
+BROADCAST_OBJINFO_BYTES = 8 << 20
+
+
+def fits_broadcast(tables: TableSet) -> bool:
+    return is_small(tables.objinfo, BROADCAST_OBJINFO_BYTES)
+
+
+def _sized(dimension: DataFrame, tables: TableSet) -> DataFrame:
+    return F.broadcast(dimension) if fits_broadcast(tables) else dimension
+
+
 def sv_boxes(objinfo: DataFrame) -> DataFrame:
     """Size and box corners per supervoxel."""
-    starts = {axis: F.col(f"bbox.start.{axis}") for axis in _AXES}
-    return objinfo.select(
-        F.col("id").alias("sv"),
-        F.col("num_voxels").alias("sv_size"),
-        *(starts[axis].alias(f"sv_box_{axis}0") for axis in _AXES),
-        *(
-            box_end(starts[axis], F.col(f"bbox.size.{axis}")).alias(f"sv_box_{axis}1")
-            for axis in _AXES
-        ),
+    starts = {axis: f"bbox.start.{axis}" for axis in _AXES}
+    ends = {axis: box_end(starts[axis], f"bbox.size.{axis}") for axis in _AXES}
+    return objinfo.selectExpr(
+        "id AS sv",
+        "num_voxels AS sv_size",
+        *(f"{start} AS sv_box_{axis}0" for axis, start in starts.items()),
+        *(f"{end} AS sv_box_{axis}1" for axis, end in ends.items()),
     )
 
 
 def sv_bodies(tables: TableSet) -> DataFrame:
     """Body of each supervoxel that exists."""
-    mapped = tables.agglo.select(F.col("id_a").alias("sv"), F.col("id_b").alias("_body"))
-    return (
-        tables.objinfo.select(F.col("id").alias("sv"))
-        .join(mapped, "sv", "left")
-        .select("sv", F.coalesce("_body", "sv").alias("body"))
-    )
+    mapped = tables.agglo.selectExpr("id_a AS id", "id_b")
+    bodies = tables.objinfo.select("id").join(mapped, "id", "left")
+    return _sized(bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body"), tables)
 
 
 def body_dimension(tables: TableSet) -> DataFrame:
     """Size, box, tbars and exclusion flag of every body that some table knows."""
-    sizes = tables.body_sizes.select(
-        "body",
-        "body_size",
-        *(F.col(name.removeprefix("body_")).alias(name) for name in BODY_BOX),
-    )
-    tbars = tables.body_tbars.select("body", F.col("tbar_count").alias("body_tbars"))
+    boxes = (f"{name.removeprefix('body_')} AS {name}" for name in BODY_BOX)
+    sizes = tables.body_sizes.selectExpr("body", "body_size", *boxes)
+    tbars = tables.body_tbars.selectExpr("body", "tbar_count AS body_tbars")
     # The exclusion set is kept per supervoxel, so a body may be listed many times.
-    separate = tables.separate.distinct().withColumn("is_separate", F.lit(True))
-    return (
-        sizes.join(tbars, "body", "full")
-        .join(separate, "body", "full")
-        .withColumn("is_separate", F.coalesce("is_separate", F.lit(False)))
+    separate = tables.separate.distinct().selectExpr("body", "true AS listed")
+    known = sizes.join(tbars, "body", "full").join(separate, "body", "full")
+    return known.selectExpr(
+        "body", "body_size", *BODY_BOX, "body_tbars", "listed IS NOT NULL AS is_separate"
     )
 
 
 def sv_dimension(tables: TableSet, hot_bodies: HotKeys = HotKeys()) -> DataFrame:
     """Every attribute of each supervoxel that exists, its body's included."""
-    mask = tables.mask.select(F.col("obj_id").alias("sv"), F.col("max_mask").alias("sv_mask"))
-    tbars = tables.sv_tbars.select("sv", F.col("tbar_count").alias("sv_tbars"))
-    mapped = tables.agglo.select(F.col("id_a").alias("sv"), F.col("id_b").alias("_mapped"))
-    isolated = tables.isolated.distinct().withColumn("is_isolated", F.lit(True))
+    mask = tables.mask.selectExpr("obj_id AS sv", "max_mask AS sv_mask")
+    tbars = tables.sv_tbars.selectExpr("sv", "tbar_count AS sv_tbars")
+    mapped = tables.agglo.selectExpr("id_a AS sv", "id_b")
+    isolated = tables.isolated.distinct().selectExpr("sv", "true AS listed")
     # All on the supervoxel: one shuffle per table, none between the joins.
     supervoxels = (
         deal_rows(sv_boxes(tables.objinfo), hot_bodies)
@@ -83,31 +88,25 @@ def sv_dimension(tables: TableSet, hot_bodies: HotKeys = HotKeys()) -> DataFrame
         .join(tbars, "sv", "left")
         .join(mapped, "sv", "left")
         .join(isolated, "sv", "left")
-        .withColumn("body", F.coalesce("_mapped", "sv"))
-        .withColumn("is_isolated", F.coalesce("is_isolated", F.lit(False)))
+        .selectExpr("*", "coalesce(id_b, sv) AS body", "listed IS NOT NULL AS is_isolated")
     )
-    bodies = body_dimension(tables).withColumnRenamed("body", "_body")
-    joined = lookup(supervoxels, bodies, "body", "_body", hot_bodies, "left")
-    return joined.select(
-        "sv",
-        "body",
-        *ATTRIBUTES,
-        "is_isolated",
-        F.coalesce("is_separate", F.lit(False)).alias("is_separate"),
+    bodies = body_dimension(tables).withColumnRenamed("body", "_key")
+    joined = lookup(supervoxels, bodies, "body", hot_bodies, "left")
+    separate = "coalesce(is_separate, false) AS is_separate"
+    return _sized(
+        joined.selectExpr("sv", "body", *ATTRIBUTES, "is_isolated", separate), tables
     )
 
 
 def enrich_edges(edges: DataFrame, dimension: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """Add every column of a supervoxel dimension for both ends, suffixed ``_a`` and ``_b``.
 
-    An inner join: edges with an end the dimension does not hold are dropped.
+    An inner join: edges with an end the dimension does not hold are dropped. Columns that
+    the edges already have, such as the bodies, are not added again.
     """
+    present = set(edges.columns)
     for side in ("a", "b"):
-        new = [
-            c for c in dimension.columns if c != "sv" and f"{c}_{side}" not in edges.columns
-        ]
-        end = dimension.select(
-            F.col("sv").alias("_sv"), *(F.col(c).alias(f"{c}_{side}") for c in new)
-        )
-        edges = lookup(edges, end, f"sv_{side}", "_sv", hot)
+        new = [c for c in dimension.columns if c != "sv" and f"{c}_{side}" not in present]
+        end = dimension.selectExpr("sv AS _key", *(f"{c} AS {c}_{side}" for c in new))
+        edges = lookup(edges, end, f"sv_{side}", hot)
     return edges

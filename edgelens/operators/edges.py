@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from enum import Enum
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import (
@@ -44,7 +44,7 @@ class Coordinates(Enum):
     INTEGER = "full resolution, bigint"
     STORED = "as stored, on the grid of the edge table"
 
-    def __call__(self, coordinate: Column, res: Resolution | int) -> Column:
+    def of(self, coordinate: str, res: Resolution | int) -> str:
         if self is Coordinates.FLOAT:
             return scale_to_float(coordinate, res)
         if self is Coordinates.INTEGER:
@@ -53,19 +53,23 @@ class Coordinates(Enum):
 
 
 def flatten_edges(
-    rsg: DataFrame, res: Resolution | int, coordinates: Coordinates = Coordinates.FLOAT
+    rsg: DataFrame,
+    res: Resolution | int,
+    coordinates: Coordinates = Coordinates.FLOAT,
+    *more: str,
 ) -> DataFrame:
-    """One flat row per stored contact."""
-    return rsg.select(
-        F.col("label_a").alias("sv_a"),
-        F.col("label_b").alias("sv_b"),
-        *(nan_to_null(F.col(f).cast("double")).alias(c) for c, f in SCORE_FIELDS.items()),
-        *(coordinates(F.col(f), res).alias(c) for c, f in COORDINATE_FIELDS.items()),
+    """One flat row per stored contact; ``more`` are further expressions to select."""
+    return rsg.selectExpr(
+        "label_a AS sv_a",
+        "label_b AS sv_b",
+        *(f"{nan_to_null(f'double({field})')} AS {c}" for c, field in SCORE_FIELDS.items()),
+        *(f"{coordinates.of(field, res)} AS {c}" for c, field in COORDINATE_FIELDS.items()),
+        *more,
     )
 
 
 def union_resolutions(
-    rsg: dict[Resolution, DataFrame],
+    rsg: Mapping[Resolution, DataFrame],
     resolutions: Iterable[Resolution | int] = tuple(Resolution),
     coordinates: Coordinates = Coordinates.INTEGER,
 ) -> DataFrame:
@@ -73,34 +77,48 @@ def union_resolutions(
 
     A pair may occur at more than one resolution; every contact is kept.
     """
-    return reduce(
-        DataFrame.unionByName,
-        (
-            flatten_edges(rsg[Resolution(r)], r, coordinates).withColumn("res", F.lit(int(r)))
-            for r in resolutions
-        ),
+    per_resolution = (
+        flatten_edges(rsg[Resolution(r)], r, coordinates, f"{int(r)} AS res") for r in resolutions
     )
+    return reduce(DataFrame.unionAll, per_resolution)
 
 
 def with_score(edges: DataFrame, score_fn: ScoreFn) -> DataFrame:
-    return edges.withColumn("score", score_fn(F.col("score_ab"), F.col("score_ba")))
+    return edges.selectExpr("*", f"{score_fn.of('score_ab', 'score_ba')} AS score")
 
 
 def with_both_scores(rsg: DataFrame) -> DataFrame:
     """Stored contacts scored in both directions; the test reaches the file scan."""
-    return rsg.where(reduce(Column.__and__, (F.col(f).isNotNull() for f in SCORE_FIELDS.values())))
+    return rsg.where(" AND ".join(f"{field} IS NOT NULL" for field in SCORE_FIELDS.values()))
+
+
+_NO_SELF_EDGE = "sv_a <> sv_b"
+EDGE_TYPE_CONDITION = {
+    EdgeType.INTER_BODY: "body_a <> body_b",
+    EdgeType.INTRA_BODY: f"body_a = body_b AND {_NO_SELF_EDGE}",
+}
 
 
 def drop_self_edges(edges: DataFrame) -> DataFrame:
-    return edges.where(F.col("sv_a") != F.col("sv_b"))
+    return edges.where(_NO_SELF_EDGE)
+
+
+def edges_inter(edges: DataFrame) -> DataFrame:
+    """Edges between different bodies."""
+    return edges.where(EDGE_TYPE_CONDITION[EdgeType.INTER_BODY])
+
+
+def edges_intra(edges: DataFrame) -> DataFrame:
+    """Edges between different supervoxels of one body."""
+    return edges.where(EDGE_TYPE_CONDITION[EdgeType.INTRA_BODY])
 
 
 def map_bodies(edges: DataFrame, agglo: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """Add ``body_a`` and ``body_b``; a supervoxel that is not mapped is its own body."""
     for side in ("a", "b"):
-        mapped = agglo.select(F.col("id_a").alias("_sv"), F.col("id_b").alias("_body"))
+        mapped = agglo.selectExpr("id_a AS _key", "id_b AS _body")
         edges = (
-            lookup(edges, mapped, f"sv_{side}", "_sv", hot, "left")
+            lookup(edges, mapped, f"sv_{side}", hot, "left")
             .withColumn(f"body_{side}", F.coalesce("_body", f"sv_{side}"))
             .drop("_body")
         )
@@ -109,9 +127,9 @@ def map_bodies(edges: DataFrame, agglo: DataFrame, hot: HotKeys = HotKeys()) ->
 
 def valid_edges(edges: DataFrame, objinfo: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """Keep edges whose two supervoxels both exist."""
-    known = objinfo.select(F.col("id").alias("_sv"))
+    known = objinfo.selectExpr("id AS _key")
     for side in ("a", "b"):
-        edges = lookup(edges, known, f"sv_{side}", "_sv", hot, "left_semi")
+        edges = lookup(edges, known, f"sv_{side}", hot, "left_semi")
     return edges
 
 
@@ -123,20 +141,6 @@ def valid_edges_with_bodies(
     ``bodies`` holds ``sv`` and ``body`` for each supervoxel that exists.
     """
     for side in ("a", "b"):
-        end = bodies.select(F.col("sv").alias("_sv"), F.col("body").alias(f"body_{side}"))
-        edges = lookup(edges, end, f"sv_{side}", "_sv", hot)
+        end = bodies.selectExpr("sv AS _key", f"body AS body_{side}")
+        edges = lookup(edges, end, f"sv_{side}", hot)
     return edges
-
-
-def edges_inter(edges: DataFrame) -> DataFrame:
-    """Edges between different bodies."""
-    return edges.where(F.col("body_a") != F.col("body_b"))
-
-
-def edges_intra(edges: DataFrame) -> DataFrame:
-    """Edges between different supervoxels of one body."""
-    return drop_self_edges(edges).where(F.col("body_a") == F.col("body_b"))
-
-
-def edges_of_type(edges: DataFrame, edge_type: EdgeType | str) -> DataFrame:
-    return (edges_inter if EdgeType(edge_type) is EdgeType.INTER_BODY else edges_intra)(edges)

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from edgelens.functions import Bounds
-from edgelens.operators.edges import SCORE_FIELDS
+from edgelens.operators.edges import EDGE_TYPE_CONDITION, SCORE_FIELDS
 from edgelens.operators.skew import HotKeys, lookup
 from edgelens.parameters import NEUROPIL, EdgeCriteria
 
@@ -16,17 +13,13 @@ from edgelens.parameters import NEUROPIL, EdgeCriteria
 FAMILIES = ("body_tbars", "sv_tbars", "body_size", "sv_size")
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(Column.__and__, conditions, F.lit(True))
-
-
 def within(edges: DataFrame, attribute: str, bounds: Bounds) -> DataFrame:
     """Apply all four bounds of one family to ``<attribute>_a`` and ``<attribute>_b``."""
-    return edges.where(bounds.condition(F.col(f"{attribute}_a"), F.col(f"{attribute}_b")))
+    return edges.where(bounds.condition(f"{attribute}_a", f"{attribute}_b"))
 
 
 def within_scores(edges: DataFrame, bounds: Bounds) -> DataFrame:
-    return edges.where(bounds.condition(F.col("score_ab"), F.col("score_ba")))
+    return edges.where(bounds.condition("score_ab", "score_ba"))
 
 
 def stored_within_scores(rsg: DataFrame, bounds: Bounds) -> DataFrame:
@@ -34,21 +27,24 @@ def stored_within_scores(rsg: DataFrame, bounds: Bounds) -> DataFrame:
 
     NaN compares above every number here and fails the upper bound, as NULL does.
     """
-    ab, ba = (F.col(f) for f in SCORE_FIELDS.values())
-    return rsg.where(bounds.condition(ab, ba))
+    return rsg.where(bounds.condition(*SCORE_FIELDS.values()))
+
+
+_IN_NEUROPIL = f"sv_mask_a = {NEUROPIL} AND sv_mask_b = {NEUROPIL}"
+_NOT_BOTH_SEPARATE = "NOT (is_separate_a AND is_separate_b)"
 
 
 def in_neuropil(edges: DataFrame) -> DataFrame:
-    return edges.where((F.col("sv_mask_a") == NEUROPIL) & (F.col("sv_mask_b") == NEUROPIL))
+    return edges.where(_IN_NEUROPIL)
 
 
 def exclude_isolated(
     edges: DataFrame, isolated: DataFrame, hot: HotKeys = HotKeys()
 ) -> DataFrame:
     """Drop edges with an end that must never be merged to anything."""
-    listed = isolated.select(F.col("sv").alias("_sv")).distinct()
+    listed = isolated.selectExpr("sv AS _key").distinct()
     for side in ("a", "b"):
-        edges = lookup(edges, listed, f"sv_{side}", "_sv", hot, "left_anti")
+        edges = lookup(edges, listed, f"sv_{side}", hot, "left_anti")
     return edges
 
 
@@ -57,12 +53,12 @@ def exclude_mutual(edges: DataFrame, separate: DataFrame, hot: HotKeys = HotKeys
 
     ``hot`` are hot bodies.
     """
-    listed = separate.select(F.col("body").alias("_body")).distinct()
+    listed = separate.select("body").distinct()
     for side in ("a", "b"):
-        flagged = listed.withColumn(f"is_separate_{side}", F.lit(True))
-        edges = lookup(edges, flagged, f"body_{side}", "_body", hot, "left")
-    both = F.col("is_separate_a").isNotNull() & F.col("is_separate_b").isNotNull()
-    return edges.where(~both).drop("is_separate_a", "is_separate_b")
+        flagged = listed.selectExpr("body AS _key", f"true AS is_separate_{side}")
+        edges = lookup(edges, flagged, f"body_{side}", hot, "left")
+    allowed = edges.where("is_separate_a IS NULL OR is_separate_b IS NULL")
+    return allowed.drop("is_separate_a", "is_separate_b")
 
 
 def eligible_endpoints(dimension: DataFrame, criteria: EdgeCriteria) -> DataFrame:
@@ -71,25 +67,28 @@ def eligible_endpoints(dimension: DataFrame, criteria: EdgeCriteria) -> DataFram
     Legal only before steps that look at one pair at a time. A ranking over many pairs
     must see the edges this would remove.
     """
-    alone = [getattr(criteria, name).endpoint(F.col(name)) for name in FAMILIES]
+    alone = [getattr(criteria, name).endpoint(name) for name in FAMILIES]
     return dimension.where(
-        (F.col("sv_mask") == NEUROPIL) & ~F.col("is_isolated") & all_of(alone)
+        " AND ".join([f"sv_mask = {NEUROPIL}", "NOT is_isolated", *alone])
     )
 
 
-def across_endpoints(edges: DataFrame, criteria: EdgeCriteria) -> DataFrame:
-    """What ``eligible_endpoints`` leaves to test: clauses that need both ends."""
-    clauses = [~(F.col("is_separate_a") & F.col("is_separate_b"))]
+def across_endpoints(criteria: EdgeCriteria) -> str:
+    """What ``eligible_endpoints`` leaves to test: the kind of edge, and clauses that need
+    both ends."""
+    clauses = [EDGE_TYPE_CONDITION[criteria.edge_type], _NOT_BOTH_SEPARATE]
     for name in FAMILIES:
-        clauses += getattr(criteria, name).across(F.col(f"{name}_a"), F.col(f"{name}_b"))
-    return edges.where(all_of(clauses))
-
-
-def meet_criteria(edges: DataFrame, criteria: EdgeCriteria) -> DataFrame:
-    """Every criterion, on edges enriched from the whole dimension."""
-    edges = within_scores(in_neuropil(edges), criteria.scores)
-    edges = edges.where(~F.col("is_isolated_a") & ~F.col("is_isolated_b"))
-    edges = edges.where(~(F.col("is_separate_a") & F.col("is_separate_b")))
-    for name in FAMILIES:
-        edges = within(edges, name, getattr(criteria, name))
-    return edges
+        clauses += getattr(criteria, name).across(f"{name}_a", f"{name}_b")
+    return " AND ".join(clauses)
+
+
+def all_criteria(criteria: EdgeCriteria) -> str:
+    """Every criterion but the kind of edge, on edges enriched from the whole dimension."""
+    clauses = [
+        _IN_NEUROPIL,
+        "NOT is_isolated_a AND NOT is_isolated_b",
+        _NOT_BOTH_SEPARATE,
+        criteria.scores.condition("score_ab", "score_ba"),
+    ]
+    clauses += [getattr(criteria, n).condition(f"{n}_a", f"{n}_b") for n in FAMILIES]
+    return " AND ".join(clauses)

@@ -32,13 +32,13 @@ TIE_BREAK = (
 )
 
 
-def best_first(edges: DataFrame) -> list[Column]:
+def best_first(edges: DataFrame) -> list[Column | str]:
     """Highest score first, missing scores last, then the tie-break."""
-    present = [F.col(c).asc_nulls_first() for c in TIE_BREAK if c in edges.columns]
-    return [F.col("score").desc_nulls_last(), *present]
+    present = set(edges.columns)
+    return [F.desc_nulls_last("score"), *(c for c in TIE_BREAK if c in present)]
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window).cast("long"))
 
@@ -67,24 +67,33 @@ def top_n_per_body(edges: DataFrame, n: int) -> DataFrame:
     return best.withColumn("rank", F.col("rank").cast("long"))
 
 
-def side_ranks(edges: DataFrame) -> DataFrame:
+def side_ranks(edges: DataFrame, fits_one_task: bool | None = None) -> DataFrame:
     """Add ``rank_a`` and ``rank_b``: the rank of each edge among all edges with the same
     ``body_a``, and among all edges with the same ``body_b``."""
+    order = best_first(edges)
     for side in ("a", "b"):
-        edges = rank_within(edges, f"body_{side}", best_first(edges), f"rank_{side}")
+        edges = rank_within(edges, f"body_{side}", order, f"rank_{side}", fits_one_task)
     return edges
 
 
-def rank_within(df: DataFrame, group: str, order: Sequence[Column], name: str) -> DataFrame:
+def rank_within(
+    df: DataFrame,
+    group: str,
+    order: Sequence[Column | str],
+    name: str,
+    fits_one_task: bool | None = None,
+) -> DataFrame:
     """Exact rank of every row within its group, for groups of any size.
 
-    A window would sort a whole group in one task. Here the rows are range-partitioned on
-    group *and* order, so a large group spans several slices. A row's rank is its rank
-    within the slice plus the rows of its group in earlier slices. At most one group per
-    slice began in an earlier one, so that correction has no more rows than there are
-    slices and is safe to broadcast.
+    A window sorts a whole group in one task, which is fine while one task could hold all
+    of ``df``. Beyond that the rows are range-partitioned on group *and* order, so a large
+    group spans several slices. A row's rank is its rank within the slice plus the rows of
+    its group in earlier slices. At most one group per slice began in an earlier one, so
+    that correction has no more rows than there are slices and is safe to broadcast.
+
+    ``fits_one_task`` says what Spark's size estimate of ``df`` cannot, after joins.
     """
-    if is_small(df):
+    if is_small(df) if fits_one_task is None else fits_one_task:
         return _numbered(df, [group], order, name)
     # The row number keeps copies apart: a range boundary may then fall among them.
     numbered = df.withColumn("_copy", F.monotonically_increasing_id())
@@ -110,7 +119,7 @@ def rank_within(df: DataFrame, group: str, order: Sequence[Column], name: str) -
     )
 
 
-def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
     """Add the 1-based position of every row in a global order, without one task seeing
     all rows: sort in ranges, number each range, and shift it by the sizes before it."""
     # The identifier holds the range in its upper bits and the row within it in the lower 33.

@@ -36,7 +36,7 @@ class HotKeys:
     def table(self, df: DataFrame) -> DataFrame:
         """As a table for a broadcast; its size is bounded, see ``find_hot_keys``."""
         rows = [(int(key), int(n)) for key, n in self.parts.items()]
-        return df.sparkSession.createDataFrame(rows, "_hot_key long, _parts int")
+        return df.sparkSession.createDataFrame(rows, "_hot_key long, _parts long")
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -91,16 +91,13 @@ def lookup(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    right_key: str,
     hot: HotKeys,
     how: str = "inner",
 ) -> DataFrame:
-    """Join ``left`` to a lookup table that holds each ``right_key`` once, and drop that key.
+    """Join ``left`` on ``key`` to a lookup table that holds each ``_key`` once.
 
     With hot keys, ``left`` must have been through ``deal_rows``.
     """
-    # A name of its own: one lookup table may be joined to both ends of the same edges.
-    right = right.withColumnRenamed(right_key, "_key")
     match = F.col(key) == F.col("_key")
     if hot:
         parts = F.broadcast(hot.table(left))
@@ -109,11 +106,12 @@ def lookup(
             .withColumn("_part", F.coalesce(F.pmod(DEAL, "_parts"), F.lit(0)))
             .drop("_hot_key", "_parts")
         )
-        every_part = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+        every_part = F.expr("explode(sequence(0L, coalesce(_parts, 1L) - 1L))")
         right = (
             right.join(parts, F.col("_key") == F.col("_hot_key"), "left")
-            .withColumn("_key_part", F.explode(every_part).cast("long"))
+            .withColumn("_key_part", every_part)
             .drop("_hot_key", "_parts")
         )
         match = match & (F.col("_part") == F.col("_key_part"))
-    return left.join(right, match, how).drop("_key", "_part", "_key_part")
+    joined = left.join(right, match, how)
+    return joined.drop("_key", "_part", "_key_part") if hot else joined.drop("_key")

@@ -21,10 +21,10 @@ from edgelens.operators.edges import (
     with_both_scores,
     with_score,
 )
-from edgelens.operators.filters import meet_criteria
+from edgelens.operators.filters import all_criteria
 from edgelens.operators.ordering import by_body_tbars, ordered
 from edgelens.operators.ranking import side_ranks, top_n_per_body
-from edgelens.operators.skew import DEAL, HotKeys, deal_rows
+from edgelens.operators.skew import DEAL, HotKeys, deal_rows, is_small
 from edgelens.parameters import EdgeCriteria
 from edgelens.plans.edge_query import EDGE_COLUMNS
 from edgelens.plans.skew_profile import SkewProfile, measure_skew
@@ -55,7 +55,7 @@ def _checked(
     enriched = enrich_edges(best, sv_dimension(tables, skew.bodies), skew.supervoxels)
     if mask_b_from_a:
         enriched = enriched.withColumn("sv_mask_b", F.col("sv_mask_a"))
-    return meet_criteria(enriched, criteria)
+    return enriched.where(all_criteria(criteria))
 
 
 def best_edges_all_res(
@@ -82,7 +82,8 @@ def best_edges_all_res(
     candidates = inter_body_candidates(tables, edges, ScoreFn.PESSIMISTIC, skew.supervoxels)
     ranks = ["ranked_body", "rank"]
     if with_side_ranks:
-        candidates = side_ranks(candidates)
+        # The joins only drop edges, so the candidates are no more than the edges.
+        candidates = side_ranks(candidates, fits_one_task=is_small(edges))
         ranks += ["rank_a", "rank_b"]
     best = top_n_per_body(candidates, n)
     result = _checked(tables, best, criteria, mask_b_from_a, skew)

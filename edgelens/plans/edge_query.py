@@ -6,14 +6,12 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
 from edgelens.operators.dimensions import enrich_edges, sv_dimension
 from edgelens.operators.edges import (
     COORDINATE_FIELDS,
     drop_self_edges,
-    edges_of_type,
     flatten_edges,
     with_score,
 )
@@ -73,7 +71,7 @@ def edge_query(
     # Tests on one end depend on its supervoxel alone: apply them to the dimension, once.
     ends = eligible_endpoints(sv_dimension(tables, skew.bodies), criteria)
     enriched = enrich_edges(edges, ends, skew.supervoxels)
-    kept = across_endpoints(edges_of_type(enriched, criteria.edge_type), criteria)
+    kept = enriched.where(across_endpoints(criteria))
     best = best_contact_per_pair(kept).select(*EDGE_COLUMNS, "rownum")
     return ordered(best, order_by)
 
@@ -93,7 +91,7 @@ def edge_query_resolutions(
     resolutions = list(resolutions)
     skew = skew or measure_skew(tables, resolutions)
     per_resolution = [
-        edge_query(tables, r, criteria, skew=skew).select(F.lit(int(r)).alias("res"), "*")
+        edge_query(tables, r, criteria, skew=skew).selectExpr(f"{int(r)} AS res", "*")
         for r in resolutions
     ]
-    return ordered(reduce(DataFrame.unionByName, per_resolution), order_by)
+    return ordered(reduce(DataFrame.unionAll, per_resolution), order_by)

@@ -15,6 +15,19 @@ from edgelens.parameters import NEUROPIL
 from edgelens.sources import TableSet
 from edgelens.sources.schema import PAIR_LIST, conform
 
+
+
+def _point(suffix: str, name: str) -> str:
+    return f"struct(x{suffix} AS x, y{suffix} AS y, z{suffix} AS z) AS {name}"
+
+
+# A contact as it is nested in an edge table.
+_NESTED = (
+    f"struct(struct(score_ab AS segment_b_consistency, {_point('a', 'origin')}) AS from_a, "
+    f"struct(score_ba AS segment_a_consistency, {_point('b', 'origin')}) AS from_b) AS eval",
+    _point("_nearby", "point"),
+)
+
 # Fixed value: both supervoxels must have more voxels than this.
 MORE_VOXELS_THAN = 1_000_000
 
@@ -42,18 +55,20 @@ def extract_pairs(
     if hot:
         # One row per pair: the two labels together deal the rows of a hot label out.
         matched = matched.withColumn(DEAL, F.xxhash64("sv_a", "sv_b"))
+    large = tables.objinfo.where(f"num_voxels > {more_voxels_than}")
+    neuropil = tables.mask.where(f"max_mask = {NEUROPIL}")
     ends = (
         sv_bodies(tables)
-        .join(_sizes(tables).where(F.col("sv_voxels") > more_voxels_than), "sv")
-        .join(_classes(tables).where(F.col("max_mask") == NEUROPIL), "sv")
+        .join(large.selectExpr("id AS sv", "num_voxels AS sv_voxels"), "sv")
+        .join(neuropil.selectExpr("obj_id AS sv", "max_mask"), "sv")
     )
     known = once_per_request(enrich_edges(matched, ends, hot))
-    labels = [F.col("sv_a").alias("label_a"), F.col("sv_b").alias("label_b")]
-    contact = _nested() if keep_structs else ["score_ab", "score_ba", *COORDINATE_FIELDS]
-    result = known.select(
+    contact = _NESTED if keep_structs else ("score_ab", "score_ba", *COORDINATE_FIELDS)
+    result = known.selectExpr(
         "sv_a",
         "sv_b",
-        *labels,
+        "sv_a AS label_a",
+        "sv_b AS label_b",
         *contact,
         "score",
         "rownum",
@@ -65,28 +80,3 @@ def extract_pairs(
         "max_mask_b",
     )
     return ordered(result, by_ends_and_score() if order_by == () else order_by)
-
-
-def _sizes(tables: TableSet) -> DataFrame:
-    return tables.objinfo.select(F.col("id").alias("sv"), F.col("num_voxels").alias("sv_voxels"))
-
-
-def _classes(tables: TableSet) -> DataFrame:
-    return tables.mask.select(F.col("obj_id").alias("sv"), "max_mask")
-
-
-def _point(suffix: str) -> Column:
-    return F.struct(*(F.col(f"{axis}{suffix}").alias(axis) for axis in ("x", "y", "z")))
-
-
-def _nested() -> list[Column]:
-    from_a = F.struct(
-        F.col("score_ab").alias("segment_b_consistency"), _point("a").alias("origin")
-    )
-    from_b = F.struct(
-        F.col("score_ba").alias("segment_a_consistency"), _point("b").alias("origin")
-    )
-    return [
-        F.struct(from_a.alias("from_a"), from_b.alias("from_b")).alias("eval"),
-        _point("_nearby").alias("point"),
-    ]

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from edgelens.functions import Resolution
+from edgelens.operators.dimensions import fits_broadcast
 from edgelens.operators.skew import HotKeys, find_hot_keys_if_large
 from edgelens.sources import TableSet
 
@@ -24,8 +25,11 @@ class SkewProfile:
 def measure_skew(tables: TableSet, resolutions: Iterable[Resolution | int]) -> SkewProfile:
     """One pass over the label columns of the edges and one over the body map.
 
-    Tables that fit one task are not read.
+    Tables that fit one task are not read, and nothing is where the node tables are
+    small enough to be broadcast to the edges.
     """
+    if fits_broadcast(tables):
+        return SkewProfile()
     labels = reduce(
         DataFrame.unionAll,
         (tables.rsg[Resolution(r)].select("label_a", "label_b") for r in resolutions),

@@ -7,34 +7,30 @@ from pyspark.sql import functions as F
 
 from edgelens.functions import strict_greatest, strict_least
 
-_ENDS = ("body_a", "body_b", "sv_a", "sv_b")
-
+Order = list[Column | str]
 
-def _both(attribute: str, combine) -> Column:
-    return combine(F.col(f"{attribute}_a"), F.col(f"{attribute}_b"))
+_ENDS = ("body_a", "body_b", "sv_a", "sv_b")
 
 
-def by_min_sv_tbars() -> list[Column]:
+def by_min_sv_tbars() -> Order:
     """Edges whose weaker supervoxel has most tbars first, then by ends."""
-    return [_both("sv_tbars", strict_least).desc(), *(F.col(c).asc() for c in _ENDS)]
+    return [F.expr(strict_least("sv_tbars_a", "sv_tbars_b")).desc(), *_ENDS]
 
 
-def by_body_tbars() -> list[Column]:
+def by_body_tbars() -> Order:
     """Edges whose weaker body has most tbars first; among those, the smaller of the
     stronger bodies first, then by ends."""
-    return [
-        _both("body_tbars", strict_least).desc(),
-        _both("body_tbars", strict_greatest).asc(),
-        *(F.col(c).asc() for c in _ENDS),
-    ]
+    weaker = F.expr(strict_least("body_tbars_a", "body_tbars_b"))
+    stronger = F.expr(strict_greatest("body_tbars_a", "body_tbars_b"))
+    return [weaker.desc(), stronger, *_ENDS]
 
 
-def by_ends_and_score() -> list[Column]:
+def by_ends_and_score() -> Order:
     """By ends, best score first."""
-    return [*(F.col(c).asc() for c in _ENDS), F.col("score").desc()]
+    return [*_ENDS, F.desc("score")]
 
 
-def ordered(df: DataFrame, order: str | list[Column] | None) -> DataFrame:
+def ordered(df: DataFrame, order: str | Order | None) -> DataFrame:
     """Sort by columns, or by the text of an ``ORDER BY`` clause; nothing means no sort."""
     if not order:
         return df

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
@@ -22,7 +22,7 @@ from edgelens.operators.edges import (
     with_score,
 )
 from edgelens.operators.filters import all_criteria
-from edgelens.operators.ordering import by_body_tbars, ordered
+from edgelens.operators.ordering import Order, by_body_tbars, ordered
 from edgelens.operators.ranking import side_ranks, top_n_per_body
 from edgelens.operators.skew import DEAL, HotKeys, deal_rows, is_small
 from edgelens.parameters import EdgeCriteria
@@ -65,7 +65,7 @@ def best_edges_all_res(
     resolutions: Iterable[Resolution | int] = tuple(reversed(Resolution)),
     with_side_ranks: bool = True,
     mask_b_from_a: bool = False,
-    order_by: str | list[Column] | None = (),
+    order_by: str | Order | None = (),
     skew: SkewProfile | None = None,
 ) -> DataFrame:
     """The ``n`` best edges of each body over several resolutions, by the lower score.
@@ -100,7 +100,7 @@ def best_edges_one_res(
     criteria: EdgeCriteria = REVIEW_CRITERIA,
     mask_b_from_a: bool = False,
     drop_ranked_body: bool = False,
-    order_by: str | list[Column] | None = (),
+    order_by: str | Order | None = (),
     skew: SkewProfile | None = None,
 ) -> DataFrame:
     """The best edge of each body at one resolution, by the higher score.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from edgelens.functions import Resolution, ScoreFn
 from edgelens.operators.dimensions import enrich_edges, sv_dimension
@@ -16,7 +16,7 @@ from edgelens.operators.edges import (
     with_score,
 )
 from edgelens.operators.filters import across_endpoints, eligible_endpoints, stored_within_scores
-from edgelens.operators.ordering import ordered
+from edgelens.operators.ordering import Order, ordered
 from edgelens.operators.ranking import best_contact_per_pair
 from edgelens.operators.skew import deal_rows
 from edgelens.parameters import EdgeCriteria
@@ -56,7 +56,7 @@ def edge_query(
     tables: TableSet,
     res: Resolution | int,
     criteria: EdgeCriteria = EdgeCriteria(),
-    order_by: str | list[Column] | None = None,
+    order_by: str | Order | None = None,
     skew: SkewProfile | None = None,
 ) -> DataFrame:
     """The best qualifying contact of each supervoxel pair at one resolution.
@@ -80,7 +80,7 @@ def edge_query_resolutions(
     tables: TableSet,
     criteria: EdgeCriteria = EdgeCriteria(),
     resolutions: Iterable[Resolution | int] = tuple(reversed(Resolution)),
-    order_by: str | list[Column] | None = None,
+    order_by: str | Order | None = None,
     skew: SkewProfile | None = None,
 ) -> DataFrame:
     """``edge_query`` at several resolutions, tagged with ``res``.

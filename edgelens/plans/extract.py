@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
 from edgelens.operators.dimensions import enrich_edges, sv_bodies
 from edgelens.operators.edges import COORDINATE_FIELDS, Coordinates, flatten_edges, with_score
-from edgelens.operators.ordering import by_ends_and_score, ordered
+from edgelens.operators.ordering import Order, by_ends_and_score, ordered
 from edgelens.operators.pairs import best_contact_of_wanted, once_per_request
 from edgelens.operators.skew import DEAL, HotKeys, find_hot_keys_if_large
 from edgelens.parameters import NEUROPIL
@@ -38,7 +38,7 @@ def extract_pairs(
     res: Resolution | int = Resolution.NM16,
     more_voxels_than: int = MORE_VOXELS_THAN,
     keep_structs: bool = False,
-    order_by: str | list[Column] | None = (),
+    order_by: str | Order | None = (),
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """The best contact of each listed pair, in either orientation, between neuropil

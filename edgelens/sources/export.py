@@ -9,9 +9,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from edgelens.operators.ordering import ordered
+from edgelens.operators.ordering import Order, ordered
 
 RESULTS = "results"
 PROVENANCE = "provenance"
@@ -84,7 +84,7 @@ class Summary:
 
 
 def summarize(
-    written: DataFrame, order_by: str | list[Column] | None = None, n: int = 5
+    written: DataFrame, order_by: str | Order | None = None, n: int = 5
 ) -> Summary:
     """Row count and first rows of written results; the query itself is not run again.
 

@@ -319,6 +319,7 @@ _MATCHED = (
     "WHERE u.sv_a <> u.sv_b",
 )
 
+_ENDS = ("both", "either")
 _BOX_COLUMNS = [f"box_{axis}{c}" for c in (0, 1) for axis in _AXES]
 
 
@@ -469,4 +470,17 @@ def oracle_sql() -> dict[str, str]:
         f"AS n_rows, row_number() OVER (ORDER BY {_BY_BODY_TBARS}) AS place FROM best) "
         "WHERE place <= 5",
     )
+    limits = [("two_way_score", "0::DOUBLE", "1::DOUBLE"), ("one_way_score", "0::DOUBLE", "1::DOUBLE")]
+    for family, most in (("tbars", "1e6"), ("size", "1e11")):
+        for kind in ("body", "sv"):
+            limits += [(f"{kind}_{family}_{ends}", "0::BIGINT", f"{most}::DOUBLE") for ends in _ENDS]
+    given = {"min_sv_size_both": "1e6::DOUBLE", "min_body_size_either": "5e7::DOUBLE"}
+    parameters = {f"min_{name}": least for name, least, _ in limits}
+    parameters |= {f"max_{name}": most for name, _, most in limits} | given
+    sql["export_provenance"] = _query(
+        *_edge_query_steps(_INTRA, _INTRA_CRITERIA, "TRUE"),
+        final="SELECT 'intra-body' AS edge_type, "
+        + ", ".join(f"{value} AS {name}" for name, value in parameters.items())
+        + ", TRUE AS plan, count(*) AS n_rows FROM best",
+    )
     return sql

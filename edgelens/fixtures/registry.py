@@ -180,11 +180,9 @@ def export_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
         df, folder, partition_by=["res"], parameters=INTRA_CRITERIA.as_parameters()
     )
     record = spark.read.json(f"{folder}/provenance").select("parameters.*", "plan")
+    n_rows = read_results(spark, folder, df).count()
     # Plans hold generated ids and file paths: report only that one was stored.
-    written = spark.read.parquet(f"{folder}/results").groupBy().agg(F.count("*").alias("n_rows"))
-    return record.withColumn("plan", F.length("plan") > 0).withColumn(
-        "n_rows", F.lit(written.first()["n_rows"]).cast("long")
-    )
+    return record.selectExpr("* EXCEPT (plan)", "length(plan) > 0 AS plan", f"{n_rows}L AS n_rows")
 
 
 def queries() -> dict[str, Query]:

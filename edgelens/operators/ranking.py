@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgelens.operators.skew import is_small
+from edgelens.operators.skew import DEAL, is_small
 from edgelens.operators.storage import freeze
 
 TIE_BREAK = (
@@ -91,14 +91,15 @@ def rank_within(
     its group in earlier slices. At most one group per slice began in an earlier one, so
     that correction has no more rows than there are slices and is safe to broadcast.
 
-    ``fits_one_task`` says what Spark's size estimate of ``df`` cannot, after joins.
+    Where one group may hold very many copies, number the rows with ``deal_rows`` at the
+    scan, so that a slice can end among them. ``fits_one_task`` says what Spark's size
+    estimate of ``df`` cannot, after joins.
     """
     if is_small(df) if fits_one_task is None else fits_one_task:
         return _numbered(df, [group], order, name)
-    # The row number keeps copies apart: a range boundary may then fall among them.
-    numbered = df.withColumn("_copy", F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(F.col(group), *order, F.col("_copy"))
-    sliced = freeze(ranged.drop("_copy").withColumn("_slice", F.spark_partition_id()))
+    copies = [DEAL] if DEAL in df.columns else []
+    ranged = df.repartitionByRange(group, *order, *copies)
+    sliced = freeze(ranged.withColumn("_slice", F.spark_partition_id()))
 
     sizes = sliced.groupBy(group, "_slice").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

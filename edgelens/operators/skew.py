@@ -82,9 +82,9 @@ def find_hot_keys_if_large(df: DataFrame, *columns: str) -> HotKeys:
     return HotKeys() if is_small(df) else find_hot_keys(df, *columns)
 
 
-def deal_rows(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """Number the rows of a scan so that later joins can split hot keys."""
-    return df.withColumn(DEAL, F.monotonically_increasing_id()) if hot else df
+def deal_rows(df: DataFrame, wanted: HotKeys | bool) -> DataFrame:
+    """Number the rows of a scan, if ``wanted``, so that later steps can split hot groups."""
+    return df.withColumn(DEAL, F.monotonically_increasing_id()) if wanted else df
 
 
 def lookup(

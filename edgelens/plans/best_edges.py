@@ -37,9 +37,12 @@ REVIEW_CRITERIA = EdgeCriteria(min_body_tbars_both=2)
 def inter_body_candidates(
     tables: TableSet, edges: DataFrame, score_fn: ScoreFn, hot: HotKeys = HotKeys()
 ) -> DataFrame:
-    """Scored edges between different bodies, both ends valid: the input of a ranking."""
-    scored = with_score(deal_rows(edges, hot), score_fn)
-    return edges_inter(valid_edges_with_bodies(scored, sv_bodies(tables), hot)).drop(DEAL)
+    """Scored edges between different bodies, both ends valid: the input of a ranking.
+
+    With hot keys, ``edges`` must have been through ``deal_rows``.
+    """
+    valid = valid_edges_with_bodies(with_score(edges, score_fn), sv_bodies(tables), hot)
+    return edges_inter(valid)
 
 
 def _checked(
@@ -79,13 +82,15 @@ def best_edges_all_res(
     # A contact without both scores ranks below all others and is rejected in the end.
     scored = {Resolution(r): with_both_scores(tables.rsg[Resolution(r)]) for r in resolutions}
     edges = union_resolutions(scored, resolutions, Coordinates.INTEGER)
+    # The joins only drop edges, so the candidates fit one task if the edges do.
+    fits_one_task = is_small(edges)
+    edges = deal_rows(edges, skew.supervoxels or (with_side_ranks and not fits_one_task))
     candidates = inter_body_candidates(tables, edges, ScoreFn.PESSIMISTIC, skew.supervoxels)
     ranks = ["ranked_body", "rank"]
     if with_side_ranks:
-        # The joins only drop edges, so the candidates are no more than the edges.
-        candidates = side_ranks(candidates, fits_one_task=is_small(edges))
+        candidates = side_ranks(candidates, fits_one_task)
         ranks += ["rank_a", "rank_b"]
-    best = top_n_per_body(candidates, n)
+    best = top_n_per_body(candidates.drop(DEAL), n)
     result = _checked(tables, best, criteria, mask_b_from_a, skew)
     return ordered(
         result.select("res", *ranks, *EDGE_COLUMNS),
@@ -110,8 +115,9 @@ def best_edges_one_res(
     """
     skew = skew or measure_skew(tables, [res])
     edges = flatten_edges(with_both_scores(tables.rsg[Resolution(res)]), res)
+    edges = deal_rows(edges, skew.supervoxels)
     candidates = inter_body_candidates(tables, edges, ScoreFn.OPTIMISTIC, skew.supervoxels)
-    best = top_n_per_body(candidates, n)
+    best = top_n_per_body(candidates.drop(DEAL), n)
     result = _checked(tables, best, criteria, mask_b_from_a, skew)
     shown = EDGE_COLUMNS if drop_ranked_body else ("ranked_body", *EDGE_COLUMNS)
     return ordered(result.select(*shown), by_body_tbars() if order_by == () else order_by)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -50,3 +51,14 @@ def difference(spark_df, relation: duckdb.DuckDBPyRelation) -> str | None:
             cols = sorted(got.columns)
             return str({c: (x, y) for c, x, y in zip(cols, left, right) if x != y})
     return None
+
+
+def difference_between(a, b) -> str | None:
+    """What differs between two Spark results, counting repeated rows, or None."""
+    if a.dtypes != b.dtypes:
+        return f"schema {a.dtypes} {b.dtypes}"
+    rows_a, rows_b = Counter(map(tuple, a.collect())), Counter(map(tuple, b.collect()))
+    if not rows_a:
+        return "both results are empty" if not rows_b else "the first result is empty"
+    extra, missing = rows_a - rows_b, rows_b - rows_a
+    return f"extra {extra}, missing {missing}" if extra or missing else None

@@ -57,6 +57,8 @@ def sv_boxes(objinfo: DataFrame) -> DataFrame:
 
 def sv_bodies(tables: TableSet) -> DataFrame:
     """Body of each supervoxel that exists."""
+    if tables.dimension is not None:
+        return _sized(tables.dimension.select("sv", "body"), tables)
     mapped = tables.agglo.selectExpr("id_a AS id", "id_b")
     bodies = tables.objinfo.select("id").join(mapped, "id", "left")
     return _sized(bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body"), tables)
@@ -77,6 +79,8 @@ def body_dimension(tables: TableSet) -> DataFrame:
 
 def sv_dimension(tables: TableSet, hot_bodies: HotKeys = HotKeys()) -> DataFrame:
     """Every attribute of each supervoxel that exists, its body's included."""
+    if tables.dimension is not None:
+        return _sized(tables.dimension, tables)
     mask = tables.mask.selectExpr("obj_id AS sv", "max_mask AS sv_mask")
     tbars = tables.sv_tbars.selectExpr("sv", "tbar_count AS sv_tbars")
     mapped = tables.agglo.selectExpr("id_a AS sv", "id_b")

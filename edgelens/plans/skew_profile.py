@@ -23,7 +23,8 @@ class SkewProfile:
 
 
 def measure_skew(tables: TableSet, resolutions: Iterable[Resolution | int]) -> SkewProfile:
-    """One pass over the label columns of the edges and one over the body map.
+    """One pass over the label columns of the edges, and one over the body map unless the
+    dimension is stored.
 
     Tables that fit one task are not read, and nothing is where the node tables are
     small enough to be broadcast to the edges.
@@ -34,7 +35,7 @@ def measure_skew(tables: TableSet, resolutions: Iterable[Resolution | int]) -> S
         DataFrame.unionAll,
         (tables.rsg[Resolution(r)].select("label_a", "label_b") for r in resolutions),
     )
-    return SkewProfile(
-        supervoxels=find_hot_keys_if_large(labels, "label_a", "label_b"),
-        bodies=find_hot_keys_if_large(tables.agglo, "id_b"),
-    )
+    supervoxels = find_hot_keys_if_large(labels, "label_a", "label_b")
+    if tables.dimension is not None:
+        return SkewProfile(supervoxels)
+    return SkewProfile(supervoxels, find_hot_keys_if_large(tables.agglo, "id_b"))

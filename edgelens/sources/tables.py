@@ -16,7 +16,11 @@ from edgelens.sources import schema
 
 @dataclass(frozen=True)
 class TableSet:
-    """One dataset and agglomeration: the edge tables by resolution, and the node tables."""
+    """One dataset and agglomeration: the edge tables by resolution, and the node tables.
+
+    ``dimension`` is a stored supervoxel dimension of the same tables, if there is one; see
+    ``edgelens.operators.layout``.
+    """
 
     rsg: Mapping[Resolution, DataFrame]
     objinfo: DataFrame
@@ -27,6 +31,7 @@ class TableSet:
     body_tbars: DataFrame
     separate: DataFrame
     isolated: DataFrame
+    dimension: DataFrame | None = None
 
     def __post_init__(self) -> None:
         edges = {

@@ -47,9 +47,9 @@ def plan_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, limit: int = SMALL_TABLE_BYTES) -> bool:
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
     size = plan_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size <= (SMALL_TABLE_BYTES if limit is None else limit)
 
 
 def find_hot_keys(df: DataFrame, *columns: str, tasks: int | None = None) -> HotKeys:

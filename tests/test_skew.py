@@ -89,11 +89,17 @@ def test_extraction_gives_the_same_result_with_hot_keys(tables, shuffled):
     assert difference_between(split, extract_pairs(tables, listed, hot=HotKeys())) is None
 
 
-def test_skew_is_measured_only_on_large_tables(tables, monkeypatch, shuffled):
+def test_skew_is_measured_only_on_large_tables(spark, tables, monkeypatch, shuffled):
     assert measure_skew(tables, [8]) == SkewProfile()
     monkeypatch.setattr(skew, "SMALL_TABLE_BYTES", 0)
-    # 4 shuffle partitions: no label reaches a quarter of the rows
+    # 4 shuffle partitions: no label and no body reaches a quarter of the rows
     assert measure_skew(tables, [8]) == SkewProfile()
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        # the ten suppliers are at one end of every edge
+        assert set(measure_skew(tables, [8]).supervoxels.parts) == set(range(10))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     calls = []
     monkeypatch.setattr(
         "edgelens.plans.skew_profile.find_hot_keys_if_large",

@@ -53,16 +53,16 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def find_hot_keys(df: DataFrame, *columns: str, tasks: int | None = None) -> HotKeys:
-    """Keys that hold more rows of some column than one of ``tasks`` equal tasks would get.
+    """Keys that hold more rows of some column than two of ``tasks`` equal tasks would get.
 
-    One pass over the key columns with a mergeable frequent-items summary. At most
-    ``tasks`` keys per column can hold that share, which bounds both what comes back here
-    and what the joins broadcast. The summary may err on a count: that changes how many
-    parts a key gets, never the result.
+    One pass over the key columns with a mergeable frequent-items summary. Fewer than half
+    as many keys as ``tasks`` can hold that share of a column, which bounds both what comes
+    back here and what the joins broadcast. The summary may err on a count: that changes
+    how many parts a key gets, never the result.
     """
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = min(tasks, 100_000)
-    tracked = min(max(10_000, 8 * kept), 1_000_000)
+    kept = min(tasks // 2 + 1, 100_000)
+    tracked = min(max(10_000, 16 * kept), 1_000_000)
     found = df.agg(
         F.count("*").alias("n"),
         *(F.expr(f"approx_top_k({c}, {kept}, {tracked})").alias(c) for c in columns),
@@ -71,7 +71,7 @@ def find_hot_keys(df: DataFrame, *columns: str, tasks: int | None = None) -> Hot
     for column in columns:
         for entry in found[column] or []:
             share = entry["count"] / found["n"]
-            if entry["item"] is not None and share * tasks > 1:
+            if entry["item"] is not None and share * tasks > 2:
                 n = math.ceil(share * tasks)
                 parts[entry["item"]] = max(n, parts.get(entry["item"], 1))
     return HotKeys(parts)

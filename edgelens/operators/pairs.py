@@ -14,21 +14,30 @@ from edgelens.operators.skew import is_small
 BROADCAST_BYTES = 64 << 20
 
 
+# Requests for one pair that a single row stands for until the very end.
+REQUESTS_PER_ROW = 100_000
+
+
 def wanted_pairs(pair_list: DataFrame) -> DataFrame:
     """The ordered pairs a list asks for, with how often it asks for each.
 
     A listed pair asks for its own orientation and for the reverse. Counting the requests
-    here keeps a pair that is listed very often from piling up in one task later.
+    here keeps a pair that is listed very often from piling up in one task; a count too
+    large for one row is spread over several, told apart by ``_chunk``.
     """
     same = pair_list.select("sv_a", "sv_b")
-    reverse = pair_list.select(F.col("sv_b").alias("sv_a"), F.col("sv_a").alias("sv_b"))
-    return drop_self_edges(
-        same.unionAll(reverse).groupBy("sv_a", "sv_b").agg(F.count("*").alias("n_requests"))
+    reverse = pair_list.selectExpr("sv_b AS sv_a", "sv_a AS sv_b")
+    counted = same.unionAll(reverse).groupBy("sv_a", "sv_b").agg(F.count("*").alias("n"))
+    chunked = drop_self_edges(counted).selectExpr(
+        "*", f"explode(sequence(0L, (n - 1L) div {REQUESTS_PER_ROW}L)) AS _chunk"
     )
+    in_chunk = f"least({REQUESTS_PER_ROW}L, n - _chunk * {REQUESTS_PER_ROW}L) AS n_requests"
+    return chunked.selectExpr("sv_a", "sv_b", "_chunk", in_chunk)
 
 
 def best_contact_of_wanted(edges: DataFrame, pair_list: DataFrame) -> DataFrame:
-    """The best contact of each wanted pair that has an edge, with ``n_requests``.
+    """The best contact of each wanted pair that has an edge, with ``n_requests`` and
+    ``_chunk``.
 
     Which contact is best depends on its pair alone, so narrowing the edges to the list
     first gives the same contacts. That pays off when the list can be broadcast;
@@ -44,9 +53,12 @@ def best_contact_of_wanted(edges: DataFrame, pair_list: DataFrame) -> DataFrame:
 
 
 def once_per_request(matched: DataFrame) -> DataFrame:
-    """Repeat each row as often as the list asks for it; last step of a match."""
+    """Repeat each row as often as the list asks for it.
+
+    The last step, also after a sort: copies are equal in any order.
+    """
     repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_requests")))
-    return matched.withColumn("_request", repeated).drop("_request", "n_requests")
+    return matched.withColumn("_request", repeated).drop("_request", "_chunk", "n_requests")
 
 
 def match_pairs(edges: DataFrame, pair_list: DataFrame) -> DataFrame:

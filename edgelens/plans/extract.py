@@ -53,8 +53,8 @@ def extract_pairs(
     )
     matched = best_contact_of_wanted(edges, pair_list)
     if hot:
-        # One row per pair: the two labels together deal the rows of a hot label out.
-        matched = matched.withColumn(DEAL, F.xxhash64("sv_a", "sv_b"))
+        # Rows of a hot label differ in the other label or the chunk: that deals them out.
+        matched = matched.withColumn(DEAL, F.xxhash64("sv_a", "sv_b", "_chunk"))
     large = tables.objinfo.where(f"num_voxels > {more_voxels_than}")
     neuropil = tables.mask.where(f"max_mask = {NEUROPIL}")
     ends = (
@@ -62,7 +62,7 @@ def extract_pairs(
         .join(large.selectExpr("id AS sv", "num_voxels AS sv_voxels"), "sv")
         .join(neuropil.selectExpr("obj_id AS sv", "max_mask"), "sv")
     )
-    known = once_per_request(enrich_edges(matched, ends, hot))
+    known = enrich_edges(matched, ends, hot)
     contact = _NESTED if keep_structs else ("score_ab", "score_ba", *COORDINATE_FIELDS)
     result = known.selectExpr(
         "sv_a",
@@ -78,5 +78,11 @@ def extract_pairs(
         "sv_voxels_b",
         "max_mask_a",
         "max_mask_b",
+        "n_requests",
+        "_chunk",
     )
-    return ordered(result, by_ends_and_score() if order_by == () else order_by)
+    order = by_ends_and_score() if order_by == () else order_by
+    if order:
+        # With the chunk last, a range of the sort may end among the requests for one pair.
+        order = f"{order}, _chunk" if isinstance(order, str) else [*order, "_chunk"]
+    return once_per_request(ordered(result, order))

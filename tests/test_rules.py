@@ -218,3 +218,15 @@ def test_order_as_text(spark):
     assert [r.sv_a for r in edge_query(tables, 8, order_by=text).collect()] == [3, 5, 1]
     df = edge_query(tables, 8)
     assert ordered(df, "") is df
+
+
+def test_pair_listed_very_often(spark, monkeypatch):
+    monkeypatch.setattr("edgelens.operators.pairs.REQUESTS_PER_ROW", 4)
+    tables = tiny_tables(spark, {16: [contact(1, 2), contact(3, 4)]})
+    pair_list = listed(spark, *[(1, 2)] * 9, *[(4, 3)] * 4, *[(2, 1)] * 2)
+    for order in ((), "sv_a desc", None):
+        found = extract_pairs(tables, pair_list, order_by=order)
+        assert pairs_of(found) == [(1, 2)] * 11 + [(3, 4)] * 4
+    assert [r.sv_a for r in extract_pairs(tables, pair_list, order_by="sv_a desc").collect()] == (
+        [3] * 4 + [1] * 11
+    )

@@ -470,10 +470,11 @@ def oracle_sql() -> dict[str, str]:
         f"AS n_rows, row_number() OVER (ORDER BY {_BY_BODY_TBARS}) AS place FROM best) "
         "WHERE place <= 5",
     )
-    limits = [("two_way_score", "0::DOUBLE", "1::DOUBLE"), ("one_way_score", "0::DOUBLE", "1::DOUBLE")]
+    limits = [(f"{ways}_way_score", "0::DOUBLE", "1::DOUBLE") for ways in ("one", "two")]
     for family, most in (("tbars", "1e6"), ("size", "1e11")):
         for kind in ("body", "sv"):
-            limits += [(f"{kind}_{family}_{ends}", "0::BIGINT", f"{most}::DOUBLE") for ends in _ENDS]
+            names = [f"{kind}_{family}_{ends}" for ends in _ENDS]
+            limits += [(name, "0::BIGINT", f"{most}::DOUBLE") for name in names]
     given = {"min_sv_size_both": "1e6::DOUBLE", "min_body_size_either": "5e7::DOUBLE"}
     parameters = {f"min_{name}": least for name, least, _ in limits}
     parameters |= {f"max_{name}": most for name, _, most in limits} | given

@@ -29,10 +29,11 @@ ATTRIBUTES = (
 )
 
 
-# A supervoxel dimension has one row of some 30 numbers per row of ``objinfo``. While that
-# table is this small as stored, the dimension is sent to every executor and the edges need
-# no shuffle; beyond it, both are shuffled on the supervoxel.
-BROADCAST_OBJINFO_BYTES = 8 << 20
+# A supervoxel dimension has one row of some 30 numbers per row of ``objinfo``, which takes
+# about ten bytes per row as stored. While that table is this small, the dimension, some
+# 100 MB in memory, is sent to every executor and the edges need no shuffle; beyond it,
+# both are shuffled on the supervoxel.
+BROADCAST_OBJINFO_BYTES = 4 << 20
 
 
 def fits_broadcast(tables: TableSet) -> bool:

@@ -38,7 +38,9 @@ def best_first(edges: DataFrame) -> list[Column | str]:
     return [F.desc_nulls_last("score"), *(c for c in TIE_BREAK if c in present)]
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+def _numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str
+) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window).cast("long"))
 
@@ -120,7 +122,9 @@ def rank_within(
     )
 
 
-def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, order: Sequence[Column | str], name: str = "position"
+) -> DataFrame:
     """Add the 1-based position of every row in a global order, without one task seeing
     all rows: sort in ranges, number each range, and shift it by the sizes before it."""
     # The identifier holds the range in its upper bits and the row within it in the lower 33.

@@ -42,7 +42,10 @@ class _Replaceable:
 
 @dataclass(frozen=True)
 class EdgeCriteria(_Replaceable):
-    """Edge kind and the inclusive thresholds an edge must meet."""
+    """Edge kind and the inclusive thresholds an edge must meet.
+
+    The defaults are fixed values: as wide as the attributes get.
+    """
 
     edge_type: EdgeType = EdgeType.INTER_BODY
 
@@ -107,8 +110,12 @@ class EdgeCriteria(_Replaceable):
         return self._family("sv_size")
 
     def _family(self, name: str) -> Bounds:
-        limits = (f"min_{name}_both", f"max_{name}_both", f"min_{name}_either", f"max_{name}_either")
-        return Bounds(*(getattr(self, limit) for limit in limits))
+        values = [
+            getattr(self, f"{limit}_{name}_{ends}")
+            for ends in ("both", "either")
+            for limit in ("min", "max")
+        ]
+        return Bounds(*values)
 
     def as_parameters(self) -> dict[str, Any]:
         """Plain values for a provenance record."""

@@ -47,7 +47,7 @@ def shuffled(spark, monkeypatch):
 
     monkeypatch.setattr(dimensions, "BROADCAST_OBJINFO_BYTES", 0)
     monkeypatch.setattr(pairs, "BROADCAST_BYTES", 0)
-    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    names = [f"spark.sql.{kind}autoBroadcastJoinThreshold" for kind in ("", "adaptive.")]
     before = {name: spark.conf.get(name, None) for name in names}
     for name in names:
         spark.conf.set(name, "-1")

@@ -149,8 +149,8 @@ def test_extract_pairs(spark):
     expected = Counter()
     for a, b in graph.pairs:
         for pair in ((a, b), (b, a)):
-            ends_fit = all((graph.sizes[sv] or 0) > 1_000_000 and graph.classes[sv] == 5 for sv in pair)
-            if pair in best and ends_fit:
+            fits = [(graph.sizes[sv] or 0) > 1_000_000 and graph.classes[sv] == 5 for sv in pair]
+            if pair in best and all(fits):
                 edge = best[pair]
                 expected[(*pair, graph.body(pair[0]), graph.body(pair[1]), edge[2], edge[5])] += 1
     got = extract_pairs(graph.tables(spark), frame(spark, graph.pairs, PAIR_LIST)).collect()

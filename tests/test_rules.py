@@ -213,7 +213,8 @@ def test_extracted_contact_can_stay_nested(spark):
 
 
 def test_order_as_text(spark):
-    tables = tiny_tables(spark, [contact(1, 2), contact(3, 4), contact(5, 6)], sv_tbars={3: 90, 4: 80})
+    contacts = [contact(1, 2), contact(3, 4), contact(5, 6)]
+    tables = tiny_tables(spark, contacts, sv_tbars={3: 90, 4: 80})
     text = "least(sv_tbars_a, sv_tbars_b) desc, body_a desc"
     assert [r.sv_a for r in edge_query(tables, 8, order_by=text).collect()] == [3, 5, 1]
     df = edge_query(tables, 8)

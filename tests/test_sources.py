@@ -45,7 +45,8 @@ def test_adhoc_sql_sees_tables_and_further_frames(spark):
     text = "SELECT label_a FROM {rsg8} WHERE label_a IN (SELECT sv FROM {isolated})"
     assert [r.label_a for r in run_sql(tables, text).collect()] == [3]
     mine = spark.range(1, 2)
-    found = run_sql(tables, "SELECT r.label_b FROM {rsg8} r JOIN {mine} m ON m.id = r.label_a", mine=mine)
+    text = "SELECT r.label_b FROM {rsg8} r JOIN {mine} m ON m.id = r.label_a"
+    found = run_sql(tables, text, mine=mine)
     assert [r.label_b for r in found.collect()] == [2]
 
 
@@ -124,7 +125,7 @@ def test_query_over_catalog_tables(spark, tables, tmp_path):
         }
         for name, df in stored.items():
             df.write.saveAsTable(f"edgelens_seg.{name}")
-        order = "least(sv_tbars_a, sv_tbars_b) desc, body_a asc, body_b asc, sv_a asc, sv_b asc"
+        order = "least(sv_tbars_a, sv_tbars_b) desc, body_a, body_b, sv_a, sv_b"
         query = EdgeQuery(names).set(min_sv_size_both=1e6).sorted_by(order)
         expected = edge_query(tables, 8, query.criteria)
         assert difference_between(query.query(spark), expected) is None

@@ -36,8 +36,10 @@ FREQUENT, VERY = 32, 32
 SEND = 2_000_000
 #: Distinct sets that a task remembers to index copies once; beyond it starts afresh.
 REMEMBER = 200_000
+#: Words of 64 bits of a set's sketch: parities of its shingles by hash bucket.
+SKETCH = [f"s{i}" for i in range(8)]
 #: Rounds that compare the classes of an entry with one of its documents only.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,11 +64,10 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     stats = scratch.keep(_statistics(docs), "statistics")
-    members = stats.where("token IS NULL").select("id", "node", "n")
+    members = stats.where("token IS NULL").select("id", "node", "n", *SKETCH)
     second, third = _frequent_filters(stats.where("token IS NOT NULL").select("token", "df"))
     hits = scratch.keep(_shared_entries(_index(docs, second, third)), "shared-entries")
-    sets = scratch.keep(_sets_of_candidates(docs, hits), "sets")
-    edges = _links(hits, sets, scratch)
+    edges = _links(docs, hits, members, scratch)
     labels = connected_components(edges, scratch)
 
     nodes = members.join(labels, "node", "left").select(
@@ -89,6 +90,11 @@ def _node(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) >> 1
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    odd = np.bincount((tokens & np.uint64(64 * len(SKETCH) - 1)).astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class _Seen(set):
     """Remembers a bounded number of values."""
 
@@ -102,7 +108,7 @@ class _Seen(set):
 
 
 def _statistics(docs: DataFrame) -> DataFrame:
-    """Rows (id, node, n) of all documents, and rows (token, df) of all frequent shingles.
+    """Rows (id, node, n, sketch) of all documents, and rows (token, df) of all frequent shingles.
 
     Each task sends its sorted shingles, Golomb-coded, to the owners of their hash ranges,
     which count them. Repeats of a set within a task are counted once.
@@ -112,6 +118,7 @@ def _statistics(docs: DataFrame) -> DataFrame:
     schema = T.StructType([
         T.StructField("owner", T.IntegerType()), T.StructField("sent", T.BinaryType()),
         T.StructField("id", id_type), T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()),
+        *(T.StructField(x, T.LongType()) for x in SKETCH),
     ])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,17 +129,17 @@ def _statistics(docs: DataFrame) -> DataFrame:
             bounds = np.searchsorted(tokens, [(o << 48) // owners for o in range(owners + 1)])
             parts = [(o, golomb.encode(tokens[a:b])) for o, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
             return pa.RecordBatch.from_arrays(
-                [pa.array([o for o, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary()),
-                 pa.nulls(len(parts), id_arrow), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int32())],
-                ["owner", "sent", "id", "node", "n"])
+                [pa.array([o for o, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary()), pa.nulls(len(parts), id_arrow),
+                 pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int32()), *[pa.nulls(len(parts), pa.int64())] * len(SKETCH)],
+                schema.names)
 
-        id_arrow = pa.int64()
         for batch in batches:
-            ids, nodes, counts = batch.column("id"), [], []
+            ids, nodes, counts, sketches = batch.column("id"), [], [], []
             id_arrow = ids.type
             for words in words_of(batch.column("text")):
                 tokens = shingles(words)
                 counts.append(len(tokens))
+                sketches.append(_sketch(tokens))
                 nodes.append(_node(tokens) if len(tokens) else None)
                 if len(tokens) and seen.new(nodes[-1]):
                     kept.append(tokens)
@@ -143,7 +150,8 @@ def _statistics(docs: DataFrame) -> DataFrame:
             n = len(nodes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((np.arange(at, at + n) * 7919 % owners).astype(np.int32)), pa.nulls(n, pa.binary()), ids,
-                 pa.array(nodes, pa.int64()), pa.array(counts, pa.int32())], ["owner", "sent", "id", "node", "n"])
+                 pa.array(nodes, pa.int64()), pa.array(counts, pa.int32()), *(pa.array(x) for x in np.reshape(np.array(sketches, np.int64), (n, -1)).T)],
+                schema.names)
             at += n
         if kept:
             yield flush()
@@ -154,9 +162,8 @@ def _statistics(docs: DataFrame) -> DataFrame:
             rows = batch.filter(batch.column("sent").is_null())
             n = len(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), rows.column("id"), rows.column("node"), rows.column("n")],
-                ["token", "df", "id", "node", "n"])
-            id_arrow = batch.column("id").type
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), *rows.drop_columns(["owner", "sent"]).columns], out.names)
+            id_arrow = rows.column("id").type
             for owner, sent in zip(batch.column("owner").to_pylist(), batch.column("sent").to_pylist(), strict=True):
                 if sent is not None:
                     received.setdefault(owner, []).append(sent)
@@ -167,8 +174,8 @@ def _statistics(docs: DataFrame) -> DataFrame:
             first, df = first[df >= FREQUENT], df[df >= FREQUENT]
             n = len(df)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[first].astype(np.int64)), pa.array(df.astype(np.int32)), pa.nulls(n, id_arrow), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())],
-                ["token", "df", "id", "node", "n"])
+                [pa.array(tokens[first].astype(np.int64)), pa.array(df.astype(np.int32)), pa.nulls(n, id_arrow), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
+                 *[pa.nulls(n, pa.int64())] * len(SKETCH)], out.names)
 
     out = T.StructType([T.StructField("token", T.LongType()), T.StructField("df", T.IntegerType()), *schema.fields[2:]])
     return docs.mapInArrow(send, schema).repartition(owners, "owner").mapInArrow(count, out)
@@ -197,17 +204,19 @@ def _bands(n: int) -> list[int]:
     return [low, 2 * low] if OF * n >= NEED * 2 * low else [low]
 
 
-def entries(tokens: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Index entries of a set: ``tokens`` sorted, ``level`` 0 (rare), 1 or 2 for each."""
+def entries(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index entries of a set, and for each how many tokens a set lacks at least with which it is
+    the first one shared: ``tokens`` sorted, ``level`` 0 (rare), 1 or 2 for each."""
     n = len(tokens)
     if n <= 3:  # similar only to an equal set
-        return mix(tokens.sum(keepdims=True, dtype=np.uint64) + np.uint64(n))
+        return mix(tokens.sum(keepdims=True, dtype=np.uint64) + np.uint64(n)), np.zeros(1, np.int32)
     differ = n - (NEED * n + OF - 1) // OF
     order = np.argsort(level, kind="stable")
     tokens, level = tokens[order], level[order]
-    if not level[: differ + 1].any():
-        return tokens[: differ + 1]
-    found = []
+    rare = min(differ + 1, int(np.count_nonzero(level == 0)))
+    if rare == differ + 1:
+        return tokens[:rare], np.arange(rare, dtype=np.int32)
+    found, before = [tokens[:rare]], [np.arange(rare)]
     for low in _bands(n):
         classes = np.uint64(max(1, low // 10))
         group = np.where(level == 0, np.arange(n), n + level * int(classes) + (tokens % classes).astype(np.int64))
@@ -215,8 +224,8 @@ def entries(tokens: np.ndarray, level: np.ndarray) -> np.ndarray:
         sizes = np.unique(group, return_counts=True)[1]
         rank = np.empty(n, np.int64)
         rank[by_group] = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        end = int(np.searchsorted(np.cumsum(rank >= level), differ + 1)) + 1
-        found.append(tokens[:end][level[:end] == 0])
+        reached = np.cumsum(rank >= level)
+        end = int(np.searchsorted(reached, differ + 1)) + 1
         members: dict[int, list[int]] = {}
         for i in np.flatnonzero(level[:end]):
             members.setdefault(int(group[i]), []).append(i)
@@ -227,12 +236,14 @@ def entries(tokens: np.ndarray, level: np.ndarray) -> np.ndarray:
                 mixed = np.full(len(chosen), low, np.uint64)
                 for column in chosen.T:
                     mixed = mix(mixed + tokens[column] * np.uint64(0x9E3779B97F4A7C15))
+                last = chosen.max(axis=1)
                 found.append(mixed)
-    return np.unique(np.concatenate(found))
+                before.append(reached[last] - (rank >= level)[last])
+    return np.concatenate(found), np.concatenate(before).astype(np.int32)
 
 
 def _index(docs: DataFrame, second: HashFilter, third: HashFilter) -> DataFrame:
-    """Rows (entry, node, n) of the index."""
+    """Rows (entry, node, n, before) of the index."""
     filters = docs.sparkSession.sparkContext.broadcast((second, third))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,26 +260,34 @@ def _index(docs: DataFrame, second: HashFilter, third: HashFilter) -> DataFrame:
                     nodes.append(node)
                     sizes.append(len(tokens))
             if found:
-                each = [len(x) for x in found]
+                each = [len(x) for x, _ in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), each)), pa.array(np.repeat(np.array(sizes, np.int32), each))],
-                    ["entry", "node", "n"])
+                    [pa.array(np.concatenate([x for x, _ in found]).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), each)),
+                     pa.array(np.repeat(np.array(sizes, np.int32), each)), pa.array(np.concatenate([x for _, x in found]))],
+                    ["entry", "node", "n", "before"])
+
+    return docs.select("text").mapInArrow(index, "entry long, node long, n int, before int")
+
 
-    return docs.select("text").mapInArrow(index, "entry long, node long, n int")
+#: Two sets can be similar and this entry the first that they share. A pair that fails this
+#: at one entry and is similar passes it at its first one.
+_MAY_LINK = f"{NEED + OF} * LEAST(n - before, other_n - other_before) >= {NEED} * (n + other_n)"
 
 
-def _similar_sizes(a: str, b: str) -> str:
-    return f"{OF} * LEAST({a}, {b}) >= {NEED} * GREATEST({a}, {b})"
+#: Sets differ in as many shingles at least as their sketches in bits.
+_FEW_DIFFER = f"{NEED + OF} * ({' + '.join(f'bit_count({c} ^ other_{c})' for c in SKETCH)}) <= {OF - NEED} * (n + other_n)"
+
+
+def _beside(pivot: str, *columns: str) -> list:
+    """The columns of a node, and those of a struct column under the names of the other node."""
+    return [*columns, *(F.col(f"{pivot}.{c}").alias(f"other_{c}" if c != "node" else "other") for c in columns)]
 
 
 def _shared_entries(index: DataFrame) -> DataFrame:
     """Every node of an entry but its first, beside that first one."""
-    first = F.first(F.struct("node", "n")).over(Window.partitionBy("entry").orderBy("node"))
-    return (
-        index.withColumn("first", first)
-        .where("first.node <> node")
-        .select("entry", "node", "n", F.col("first.node").alias("other"), F.col("first.n").alias("other_n"))
-    )
+    columns = ("node", "n", "before")
+    first = F.first(F.struct(*columns)).over(Window.partitionBy("entry").orderBy("node"))
+    return index.withColumn("first", first).where("first.node <> node").select("entry", *_beside("first", *columns))
 
 
 # ------------------------------------------------------------------------------- verification
@@ -284,9 +303,8 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def _sets_of_candidates(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """(node, tokens) of the nodes that share an entry with another, and of few besides."""
-    nodes = hits.select("node").union(hits.select("other")).distinct()
+def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, tokens) of ``nodes``, and of few besides."""
     wanted = docs.sparkSession.sparkContext.broadcast(build_filter(nodes, "node", bits_for(nodes.count())))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,8 +322,9 @@ def _sets_of_candidates(docs: DataFrame, hits: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar enough."""
+    sets = scratch.keep(_sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,41 +339,47 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         named = sets.select(F.col("node").alias(side), F.col("tokens").alias(f"tokens_{side}"))
         pairs = pairs.join(named, side)
-    return pairs.select("a", "b", "tokens_a", "tokens_b").mapInArrow(verify, "a long, b long")
+    links = scratch.keep(pairs.select("a", "b", "tokens_a", "tokens_b").mapInArrow(verify, "a long, b long"), "links")
+    scratch.drop(sets)
+    return links
 
 
-def _links(hits: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+def _links(docs: DataFrame, hits: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     """Verified links (a, b) with the same components as all links have."""
     ordered = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    tested = scratch.keep(hits.where(_similar_sizes("n", "other_n")).select(*ordered).distinct(), "pairs")
-    edges = scratch.keep(_verified(tested, sets), "links")
-    nodes = hits.select("entry", "node", "n").union(
-        hits.select("entry", F.col("other").alias("node"), F.col("other_n").alias("n")).distinct()
-    )
+    tested = scratch.keep(hits.where(_MAY_LINK).select(*ordered).distinct(), "pairs")
+    edges = _verified(tested, docs, scratch)
+    columns = ("node", "n", "before")
+    nodes = hits.select("entry", *columns).union(hits.select("entry", "other", "other_n", "other_before").distinct())
     at_entry = Window.partitionBy("entry")
     size = F.count("*").over(at_entry)
     left = nodes.withColumn("size", size).where("size > 2").drop("size")  # a pair has been tested
     for step in range(PIVOT_ROUNDS + 1):
         labels = connected_components(edges, scratch)
+        ends = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
         left = (
-            left.select("entry", "node", "n").join(labels, "node", "left")
-            .select("entry", "node", "n", F.coalesce("component", "node").alias("component"))
+            left.select("entry", *columns).join(labels.join(ends, "node"), "node", "left")
+            .select("entry", *columns, F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree"))
             .withColumn("mixed", F.min("component").over(at_entry) != F.max("component").over(at_entry))
             .where("mixed").drop("mixed")
         )
         left = scratch.keep(left, "left")
         if left.isEmpty():
             return edges
-        if step < PIVOT_ROUNDS:
-            by_turn = at_entry.orderBy(F.xxhash64("node", F.lit(step)), "node")
-            pairs = left.withColumn("p", F.first(F.struct("node", "n", "component")).over(by_turn)).select(
-                "node", "n", "component", F.col("p.node").alias("other"), F.col("p.n").alias("other_n"), F.col("p.component").alias("other_component")
-            )
+        bound = _MAY_LINK
+        if step < PIVOT_ROUNDS:  # the node with most links first, then another at each entry
+            by_turn = at_entry.orderBy(F.desc("degree") if step == 0 else F.xxhash64("node", "entry"), "node")
+            pivots = left.withColumn("p", F.first(F.struct(*columns, "component")).over(by_turn))
+            pairs = pivots.select("entry", *_beside("p", *columns, "component"))
         else:
-            others = left.select("entry", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
+            sketches = members.groupBy("node").agg(*(F.first(c).alias(c) for c in SKETCH))
+            left = scratch.keep(left.join(sketches, "node"), "sketched")
+            others = left.select("entry", *(F.col(c).alias(f"other_{c}" if c != "node" else "other") for c in (*columns, "component", *SKETCH)))
             pairs = left.join(others, "entry").where("node < other")
-        pairs = pairs.where(f"component <> other_component AND {_similar_sizes('n', 'other_n')}").select(*ordered).distinct()
+            bound += f" AND {_FEW_DIFFER}"
+        pairs = pairs.where(f"component <> other_component AND {bound}").select(*ordered).distinct()
         pairs = scratch.keep(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        edges = scratch.keep(edges.union(_verified(pairs, sets)), "links")
+        if not pairs.isEmpty():
+            edges = edges.union(_verified(pairs, docs, scratch))
         tested = tested.union(pairs)
     return edges

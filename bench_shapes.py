@@ -58,7 +58,7 @@ def candidates(tables: TableSet) -> DataFrame:
 
 
 def two_stages(tables: TableSet, n: int) -> DataFrame:
-    sides = ranking.side_ranks(candidates(tables), fits_one_task=True)
+    sides = ranking.side_ranks(candidates(tables))
     picked = [
         sides.where(f"rank_{s} <= {n}").withColumn("ranked_body", F.col(f"body_{s}")) for s in "ab"
     ]

@@ -57,7 +57,7 @@ body_sizes AS (
 isolated AS (SELECT sv FROM parts WHERE sv % 101 IN (50, 6)),
 separate AS (SELECT sv, body FROM body_of WHERE body % 24 = 0),
 pair_list AS (
-    SELECT DISTINCT l_partkey AS sv_a, l_suppkey AS sv_b FROM lineitem WHERE l_orderkey % 10 = 3
+    SELECT DISTINCT label_a AS sv_a, label_b AS sv_b FROM rsg WHERE res = 32
 )"""
 
 _STORED = {
@@ -448,6 +448,9 @@ def oracle_sql() -> dict[str, str]:
         "AND ma.max_mask = 5 AND mb.max_mask = 5",
     )
 
+    for name in ("edge_query_inter", "best_edges_all_res", "extract_pairs"):
+        sql[f"{name}_split"] = sql[name]
+
     def positioned(order: str) -> str:
         return _query(
             *inter,

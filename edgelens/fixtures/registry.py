@@ -12,6 +12,7 @@ from edgelens.functions import Bounds, Resolution, ScoreFn
 from edgelens.operators import edges as E
 from edgelens.operators import filters, ordering, pairs, ranking
 from edgelens.operators.dimensions import body_dimension, enrich_edges, sv_boxes, sv_dimension
+from edgelens.operators.skew import find_hot_keys
 from edgelens.operators.storage import shared_folder
 from edgelens.parameters import EdgeCriteria, EdgeType
 from edgelens.plans import (
@@ -22,6 +23,7 @@ from edgelens.plans import (
     extract_pairs,
 )
 from edgelens.plans.best_edges import inter_body_candidates
+from edgelens.plans.skew_profile import measure_skew
 from edgelens.plans.edge_query import EDGE_COLUMNS
 from edgelens.sources import TableSet, run_sql
 from edgelens.sources.export import read_results, summarize, write_results
@@ -34,6 +36,10 @@ STORED, INTEGER, FLOAT = E.Coordinates.STORED, E.Coordinates.INTEGER, E.Coordina
 FLAT_COLUMNS = ("sv_a", "sv_b", *E.SCORE_FIELDS, *E.COORDINATE_FIELDS)
 SCORED_COLUMNS = (*FLAT_COLUMNS, "score")
 
+# Tasks that a key is compared with where the registered queries split hot keys: at 400, each
+# of the suppliers of a small scale has more rows than two tasks should get.
+SPLIT_TASKS = 400
+
 # The batch criteria. No derived body reaches the customary 1e9 voxels, hence 5e7.
 INTRA_CRITERIA = EdgeCriteria(
     edge_type=EdgeType.INTRA_BODY, min_sv_size_both=1e6, min_body_size_either=5e7
@@ -126,7 +132,9 @@ _ON_TABLES: dict[str, Callable[[TableSet], DataFrame]] = {
         t, NM8, INTRA_CRITERIA, order_by=ordering.by_min_sv_tbars()
     ),
     "intra_all_res": lambda t: edge_query_resolutions(t, INTRA_CRITERIA),
+    "edge_query_inter_split": lambda t: edge_query(t, NM8, skew=_split(t)),
     "best_edges_all_res": best_edges_all_res,
+    "best_edges_all_res_split": lambda t: best_edges_all_res(t, skew=_split(t)),
     "best_edges_all_res_without_side_ranks": lambda t: best_edges_all_res(
         t, with_side_ranks=False
     ),
@@ -150,6 +158,17 @@ _ON_TABLES: dict[str, Callable[[TableSet], DataFrame]] = {
 }
 
 
+def _split(tables: TableSet):
+    """Hot keys as in a cluster of few tasks, where the suppliers are hubs."""
+    return measure_skew(tables, tasks=SPLIT_TASKS)
+
+
+def extract_listed_pairs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = pair_list(spark, sf_dir)
+    hot = find_hot_keys(listed, "sv_a", "sv_b", tasks=SPLIT_TASKS)
+    return extract_pairs(fixture_tables(spark, sf_dir), listed, hot=hot)
+
+
 def match_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fixture_tables(spark, sf_dir)
     return pairs.match_pairs(_stored_16(tables), pair_list(spark, sf_dir))
@@ -193,6 +212,7 @@ def queries() -> dict[str, Query]:
         **{name: on_tables(build) for name, build in _ON_TABLES.items()},
         "match_pairs": match_pairs,
         "extract_pairs": extract_listed_pairs,
+        "extract_pairs_split": extract_listed_pairs_split,
         "export_roundtrip": lambda spark, sf_dir: _exported(spark, sf_dir, "parquet"),
         "export_csv_roundtrip": lambda spark, sf_dir: _exported(spark, sf_dir, "csv"),
         "export_summary": export_summary,

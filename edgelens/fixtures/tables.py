@@ -14,7 +14,7 @@ from edgelens.functions import Resolution
 from edgelens.sources import TableSet
 
 # Line numbers that make up the edge table of each resolution.
-_LINES = {Resolution.NM32: (1, 2), Resolution.NM16: (3, 4), Resolution.NM8: (5, 7)}
+_LINES = {Resolution.NM32: (1, 2), Resolution.NM16: (3, 4), Resolution.NM8: (5, 2**31 - 1)}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +103,6 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> TableSet:
 
 
 def pair_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A list of pairs somebody asks for."""
-    lines = _read(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 10 == 3)
-    return lines.select(
-        F.col("l_partkey").alias("sv_a"), F.col("l_suppkey").alias("sv_b")
-    ).distinct()
+    """A list of pairs somebody asks for: those with an edge at the coarsest resolution."""
+    edges = rsg(spark, sf_dir, Resolution.NM32)
+    return edges.select(F.col("label_a").alias("sv_a"), F.col("label_b").alias("sv_b")).distinct()

@@ -55,4 +55,6 @@ class Bounds:
             return f"double('{bound}')"
         if not self.whole_numbers:
             return f"{float(bound)!r}D"
-        return str(int(bound) if isinstance(bound, Integral) else to_whole(bound))
+        whole = int(bound) if isinstance(bound, Integral) else to_whole(bound)
+        # Beyond the range of bigint a bound is the same as at its end.
+        return str(min(max(whole, -(2**63) + 1), 2**63 - 1))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import box_end
-from edgelens.operators.skew import HotKeys, deal_rows, is_small, lookup
+from edgelens.operators.skew import DEAL, HotKeys, lookup
 from edgelens.sources import TableSet
 
 _AXES = ("x", "y", "z")
@@ -29,19 +29,20 @@ ATTRIBUTES = (
 )
 
 
-# A supervoxel dimension has one row of some 30 numbers per row of ``objinfo``, which takes
-# about ten bytes per row as stored. While that table is this small, the dimension, some
-# 100 MB in memory, is sent to every executor and the edges need no shuffle; beyond it,
-# both are shuffled on the supervoxel.
-BROADCAST_OBJINFO_BYTES = 4 << 20
+def keyed_once(dimension: DataFrame) -> DataFrame:
+    """``dimension`` with a check in the plan that no ``sv`` is there twice.
 
-
-def fits_broadcast(tables: TableSet) -> bool:
-    return is_small(tables.objinfo, BROADCAST_OBJINFO_BYTES)
-
-
-def _sized(dimension: DataFrame, tables: TableSet) -> DataFrame:
-    return F.broadcast(dimension) if fits_broadcast(tables) else dimension
+    A key repeated in any lookup table repeats a supervoxel here and would multiply edges. The
+    check groups on the supervoxel, whose shuffle the join to the edges needs anyway; put it
+    after filters, so that these reach the scans. ``TableSet.check_keys`` names the table.
+    """
+    values = [c for c in dimension.columns if c != "sv"]
+    grouped = dimension.groupBy("sv").agg(
+        F.count("*").alias("_times"), *(F.first(c).alias(c) for c in values)
+    )
+    message = F.concat(F.lit("a lookup table repeats a key, see check_keys; supervoxel "), "sv")
+    once = F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return grouped.where(once).select("sv", *values)
 
 
 def sv_boxes(objinfo: DataFrame) -> DataFrame:
@@ -59,10 +60,10 @@ def sv_boxes(objinfo: DataFrame) -> DataFrame:
 def sv_bodies(tables: TableSet) -> DataFrame:
     """Body of each supervoxel that exists."""
     if tables.dimension is not None:
-        return _sized(tables.dimension.select("sv", "body"), tables)
+        return tables.dimension.select("sv", "body")
     mapped = tables.agglo.selectExpr("id_a AS id", "id_b")
     bodies = tables.objinfo.select("id").join(mapped, "id", "left")
-    return _sized(bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body"), tables)
+    return bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body")
 
 
 def body_dimension(tables: TableSet) -> DataFrame:
@@ -81,26 +82,26 @@ def body_dimension(tables: TableSet) -> DataFrame:
 def sv_dimension(tables: TableSet, hot_bodies: HotKeys = HotKeys()) -> DataFrame:
     """Every attribute of each supervoxel that exists, its body's included."""
     if tables.dimension is not None:
-        return _sized(tables.dimension, tables)
+        return tables.dimension
     mask = tables.mask.selectExpr("obj_id AS sv", "max_mask AS sv_mask")
     tbars = tables.sv_tbars.selectExpr("sv", "tbar_count AS sv_tbars")
     mapped = tables.agglo.selectExpr("id_a AS sv", "id_b")
     isolated = tables.isolated.distinct().selectExpr("sv", "true AS listed")
     # All on the supervoxel: one shuffle per table, none between the joins.
     supervoxels = (
-        deal_rows(sv_boxes(tables.objinfo), hot_bodies)
+        sv_boxes(tables.objinfo)
         .join(mask, "sv", "left")
         .join(tbars, "sv", "left")
         .join(mapped, "sv", "left")
         .join(isolated, "sv", "left")
         .selectExpr("*", "coalesce(id_b, sv) AS body", "listed IS NOT NULL AS is_isolated")
     )
+    if hot_bodies:  # each supervoxel is there once: its hash deals a hot body's rows out
+        supervoxels = supervoxels.withColumn(DEAL, F.xxhash64("sv"))
     bodies = body_dimension(tables).withColumnRenamed("body", "_key")
     joined = lookup(supervoxels, bodies, "body", hot_bodies, "left")
     separate = "coalesce(is_separate, false) AS is_separate"
-    return _sized(
-        joined.selectExpr("sv", "body", *ATTRIBUTES, "is_isolated", separate), tables
-    )
+    return joined.selectExpr("sv", "body", *ATTRIBUTES, "is_isolated", separate)
 
 
 def enrich_edges(edges: DataFrame, dimension: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:

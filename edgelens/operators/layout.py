@@ -11,16 +11,17 @@ from __future__ import annotations
 import dataclasses
 
 from edgelens.operators.dimensions import sv_dimension
-from edgelens.operators.skew import find_hot_keys_if_large
+from edgelens.operators.skew import HotKeys
 from edgelens.sources import TableSet
 
 
-def store_dimension(tables: TableSet, name: str, buckets: int) -> TableSet:
+def store_dimension(
+    tables: TableSet, name: str, buckets: int, hot_bodies: HotKeys = HotKeys()
+) -> TableSet:
     """Save the supervoxel dimension as a catalog table of so many buckets, and bind it.
 
     As many buckets as there are shuffle partitions fit the shuffles of the edges.
     """
-    hot_bodies = find_hot_keys_if_large(tables.agglo, "id_b")
     dimension = sv_dimension(dataclasses.replace(tables, dimension=None), hot_bodies)
     # One task per bucket, so that each bucket is one sorted file.
     placed = dimension.repartition(buckets, "sv")

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from edgelens.operators.edges import drop_self_edges
 from edgelens.operators.ranking import best_contact_per_pair
-from edgelens.operators.skew import is_small
-
-# A list up to this size is sent to every executor, so that the edges need no shuffle to
-# be matched against it.
-BROADCAST_BYTES = 64 << 20
 
 
 # Requests for one pair that a single row stands for until the very end.
@@ -39,17 +34,11 @@ def best_contact_of_wanted(edges: DataFrame, pair_list: DataFrame) -> DataFrame:
     """The best contact of each wanted pair that has an edge, with ``n_requests`` and
     ``_chunk``.
 
-    Which contact is best depends on its pair alone, so narrowing the edges to the list
-    first gives the same contacts. That pays off when the list can be broadcast;
-    otherwise each task first cuts its edges to one per pair, and the list joins them on
-    the partitioning that leaves.
+    Each task first cuts its edges to one per pair; the list joins them on the partitioning
+    that the choice of the best contact leaves.
     """
-    wanted = wanted_pairs(pair_list)
-    if is_small(pair_list, BROADCAST_BYTES):
-        keys = F.broadcast(wanted.select("sv_a", "sv_b"))
-        edges = edges.join(keys, ["sv_a", "sv_b"], "left_semi")
     best = best_contact_per_pair(drop_self_edges(edges))
-    return best.join(wanted, ["sv_a", "sv_b"])
+    return best.join(wanted_pairs(pair_list), ["sv_a", "sv_b"])
 
 
 def once_per_request(matched: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgelens.operators.skew import DEAL, is_small
+from edgelens.operators.skew import DEAL
 from edgelens.operators.storage import freeze
 
 TIE_BREAK = (
@@ -69,36 +69,79 @@ def top_n_per_body(edges: DataFrame, n: int) -> DataFrame:
     return best.withColumn("rank", F.col("rank").cast("long"))
 
 
-def side_ranks(edges: DataFrame, fits_one_task: bool | None = None) -> DataFrame:
+def side_ranks(edges: DataFrame) -> DataFrame:
     """Add ``rank_a`` and ``rank_b``: the rank of each edge among all edges with the same
     ``body_a``, and among all edges with the same ``body_b``."""
     order = best_first(edges)
     for side in ("a", "b"):
-        edges = rank_within(edges, f"body_{side}", order, f"rank_{side}", fits_one_task)
+        edges = rank_within(edges, f"body_{side}", order, f"rank_{side}")
     return edges
 
 
+# Scores lie between 0 and 1 as a rule; any other score falls into the first or last slice.
+SCORE_SLICES = 4096
+
+
+def side_ranks_of(best: DataFrame, edges: DataFrame) -> DataFrame:
+    """Add ``rank_a`` and ``rank_b``, as ``side_ranks`` has them among all ``edges``, to the
+    few ``best`` ones (with ``ranked_body``).
+
+    Edges of a body are counted by slices of the score. Only the slices in which a best edge
+    lies are put in order, so a body with a third of all edges is spread over many groups, and
+    nothing is stored in between.
+    """
+    keys = [c for c in TIE_BREAK if c in edges.columns]
+    order = best_first(edges)
+    copies = Window.partitionBy("ranked_body", "score", *keys).orderBy("rank")
+    best = best.withColumn("_copy", F.row_number().over(copies) - 1)
+    bound = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
+    place = F.coalesce(F.lit(SCORE_SLICES) - F.floor(bound * SCORE_SLICES), F.lit(SCORE_SLICES + 1))
+    for side in ("a", "b"):
+        group = F.col(f"body_{side}").alias("_body")
+        columns = [group, place.cast("int").alias("_slice"), "score", *keys]
+        asked = best.select(*columns).distinct()
+        rows = edges.select(*columns)
+        earlier = Window.partitionBy("_body").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = rows.groupBy("_body", "_slice").agg(F.count("*").alias("_n"))
+        before = sizes.select("_body", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        near = rows.join(asked.select("_body", "_slice").distinct(), ["_body", "_slice"], "left_semi")
+        # an asked edge stands before the edges equal to it, and counts the edges before it
+        both = asked.withColumn("_is", F.lit(0)).unionByName(near.withColumn("_is", F.lit(1)))
+        upto = Window.partitionBy("_body", "_slice").orderBy(*order, "_is")
+        counted = both.withColumn("_in", F.sum("_is").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+        ranks = counted.where("_is = 0").join(before, ["_body", "_slice"])
+        ranks = ranks.select(
+            *(F.col(c).alias(f"_{c}") for c in ("score", *keys)), "_body", (F.col("_before") + F.col("_in") + 1).alias("_rank")
+        )
+        # a score missing in one direction leaves nulls among the keys
+        match = F.col(f"body_{side}") == F.col("_body")
+        for c in ("score", *keys):
+            match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        best = (
+            best.join(ranks, match)
+            .withColumn(f"rank_{side}", (F.col("_rank") + F.col("_copy")).cast("long"))
+            .drop("_body", "_rank", *(f"_{c}" for c in ("score", *keys)))
+        )
+    return best.drop("_copy")
+
+
 def rank_within(
     df: DataFrame,
     group: str,
     order: Sequence[Column | str],
     name: str,
-    fits_one_task: bool | None = None,
 ) -> DataFrame:
     """Exact rank of every row within its group, for groups of any size.
 
-    A window sorts a whole group in one task, which is fine while one task could hold all
-    of ``df``. Beyond that the rows are range-partitioned on group *and* order, so a large
-    group spans several slices. A row's rank is its rank within the slice plus the rows of
-    its group in earlier slices. At most one group per slice began in an earlier one, so
-    that correction has no more rows than there are slices and is safe to broadcast.
+    A window would sort a whole group in one task. The rows are range-partitioned on group
+    *and* order instead, so a large group spans several slices. A row's rank is its rank
+    within the slice plus the rows of its group in earlier slices. At most one group per slice
+    began in an earlier one, so that correction has no more rows than there are slices and is
+    safe to broadcast.
 
     Where one group may hold very many copies, number the rows with ``deal_rows`` at the
-    scan, so that a slice can end among them. ``fits_one_task`` says what Spark's size
-    estimate of ``df`` cannot, after joins.
+    scan, so that a slice can end among them.
     """
-    if is_small(df) if fits_one_task is None else fits_one_task:
-        return _numbered(df, [group], order, name)
     copies = [DEAL] if DEAL in df.columns else []
     ranged = df.repartitionByRange(group, *order, *copies)
     sliced = freeze(ranged.withColumn("_slice", F.spark_partition_id()))

@@ -15,9 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Spark itself does not call a partition skewed below this size, and a table this small
-# fits one task whole.
-SMALL_TABLE_BYTES = 256 << 20
+# Keys that the frequent-items summary can track at most.
+MAX_TRACKED = 1_000_000
 
 # Position of a row in its scan, added before any shuffle: it deals the rows of a hot key
 # out evenly, also when they are copies of each other, and is the same when a task reruns.
@@ -39,19 +38,6 @@ class HotKeys:
         return df.sparkSession.createDataFrame(rows, "_hot_key long, _parts long")
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate for ``df``, or None where the session cannot tell."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except AttributeError:
-        return None
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= (SMALL_TABLE_BYTES if limit is None else limit)
-
-
 def find_hot_keys(df: DataFrame, *columns: str, tasks: int | None = None) -> HotKeys:
     """Keys that hold more rows of some column than two of ``tasks`` equal tasks would get.
 
@@ -61,8 +47,10 @@ def find_hot_keys(df: DataFrame, *columns: str, tasks: int | None = None) -> Hot
     how many parts a key gets, never the result.
     """
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = min(tasks // 2 + 1, 100_000)
-    tracked = min(max(10_000, 16 * kept), 1_000_000)
+    kept = tasks // 2 + 1
+    tracked = max(10_000, 16 * kept)
+    if tracked > MAX_TRACKED:
+        raise ValueError(f"{tasks} tasks need more tracked keys than Spark allows: pass fewer tasks")
     found = df.agg(
         F.count("*").alias("n"),
         *(F.expr(f"approx_top_k({c}, {kept}, {tracked})").alias(c) for c in columns),
@@ -77,11 +65,6 @@ def find_hot_keys(df: DataFrame, *columns: str, tasks: int | None = None) -> Hot
     return HotKeys(parts)
 
 
-def find_hot_keys_if_large(df: DataFrame, *columns: str) -> HotKeys:
-    """``find_hot_keys``, without the pass where one task could hold the whole table."""
-    return HotKeys() if is_small(df) else find_hot_keys(df, *columns)
-
-
 def deal_rows(df: DataFrame, wanted: HotKeys | bool) -> DataFrame:
     """Number the rows of a scan, if ``wanted``, so that later steps can split hot groups."""
     return df.withColumn(DEAL, F.monotonically_increasing_id()) if wanted else df

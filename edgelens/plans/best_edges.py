@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import enrich_edges, sv_bodies, sv_dimension
+from edgelens.operators.dimensions import enrich_edges, keyed_once, sv_bodies, sv_dimension
 from edgelens.operators.edges import (
     Coordinates,
     edges_inter,
@@ -23,11 +23,11 @@ from edgelens.operators.edges import (
 )
 from edgelens.operators.filters import all_criteria
 from edgelens.operators.ordering import Order, by_body_tbars, ordered
-from edgelens.operators.ranking import side_ranks, top_n_per_body
-from edgelens.operators.skew import DEAL, HotKeys, deal_rows, is_small
+from edgelens.operators.ranking import side_ranks_of, top_n_per_body
+from edgelens.operators.skew import DEAL, HotKeys, deal_rows
 from edgelens.parameters import EdgeCriteria
 from edgelens.plans.edge_query import EDGE_COLUMNS
-from edgelens.plans.skew_profile import SkewProfile, measure_skew
+from edgelens.plans.skew_profile import SkewProfile
 from edgelens.sources import TableSet
 
 # Fixed value: a body needs this many tbars to be worth a review.
@@ -41,7 +41,7 @@ def inter_body_candidates(
 
     With hot keys, ``edges`` must have been through ``deal_rows``.
     """
-    valid = valid_edges_with_bodies(with_score(edges, score_fn), sv_bodies(tables), hot)
+    valid = valid_edges_with_bodies(with_score(edges, score_fn), keyed_once(sv_bodies(tables)), hot)
     return edges_inter(valid)
 
 
@@ -55,7 +55,8 @@ def _checked(
     # Few rows are left, but one supervoxel may be the best partner of very many bodies:
     # the rows that end at it are told apart by the body they were ranked for.
     best = best.withColumn(DEAL, F.xxhash64("ranked_body", "rank")) if skew.supervoxels else best
-    enriched = enrich_edges(best, sv_dimension(tables, skew.bodies), skew.supervoxels)
+    ends = keyed_once(sv_dimension(tables, skew.bodies))
+    enriched = enrich_edges(best, ends, skew.supervoxels)
     if mask_b_from_a:
         enriched = enriched.withColumn("sv_mask_b", F.col("sv_mask_a"))
     return enriched.where(all_criteria(criteria))
@@ -69,28 +70,26 @@ def best_edges_all_res(
     with_side_ranks: bool = True,
     mask_b_from_a: bool = False,
     order_by: str | Order | None = (),
-    skew: SkewProfile | None = None,
+    skew: SkewProfile = SkewProfile(),
 ) -> DataFrame:
     """The ``n`` best edges of each body over several resolutions, by the lower score.
 
-    ``with_side_ranks`` adds ``rank_a`` and ``rank_b``, which need a total order of all
-    edges per side; leave them out where only ``rank`` is used. ``mask_b_from_a`` tests
+    ``with_side_ranks`` adds ``rank_a`` and ``rank_b``, for which all edges are counted once
+    per side; leave them out where only ``rank`` is used. ``mask_b_from_a`` tests
     the tissue class of the A end twice instead of both ends.
     """
     resolutions = list(resolutions)
-    skew = skew or measure_skew(tables, resolutions)
     # A contact without both scores ranks below all others and is rejected in the end.
     scored = {Resolution(r): with_both_scores(tables.rsg[Resolution(r)]) for r in resolutions}
     edges = union_resolutions(scored, resolutions, Coordinates.INTEGER)
-    # The joins only drop edges, so the candidates fit one task if the edges do.
-    fits_one_task = is_small(edges)
-    edges = deal_rows(edges, skew.supervoxels or (with_side_ranks and not fits_one_task))
+    edges = deal_rows(edges, skew.supervoxels)
     candidates = inter_body_candidates(tables, edges, ScoreFn.PESSIMISTIC, skew.supervoxels)
+    candidates = candidates.drop(DEAL)
+    best = top_n_per_body(candidates, n)
     ranks = ["ranked_body", "rank"]
     if with_side_ranks:
-        candidates = side_ranks(candidates, fits_one_task)
+        best = side_ranks_of(best, candidates)
         ranks += ["rank_a", "rank_b"]
-    best = top_n_per_body(candidates.drop(DEAL), n)
     result = _checked(tables, best, criteria, mask_b_from_a, skew)
     return ordered(
         result.select("res", *ranks, *EDGE_COLUMNS),
@@ -106,14 +105,13 @@ def best_edges_one_res(
     mask_b_from_a: bool = False,
     drop_ranked_body: bool = False,
     order_by: str | Order | None = (),
-    skew: SkewProfile | None = None,
+    skew: SkewProfile = SkewProfile(),
 ) -> DataFrame:
     """The best edge of each body at one resolution, by the higher score.
 
     An edge that is best for both of its bodies is returned for each; ``ranked_body``
     tells them apart unless ``drop_ranked_body``.
     """
-    skew = skew or measure_skew(tables, [res])
     edges = flatten_edges(with_both_scores(tables.rsg[Resolution(res)]), res)
     edges = deal_rows(edges, skew.supervoxels)
     candidates = inter_body_candidates(tables, edges, ScoreFn.OPTIMISTIC, skew.supervoxels)

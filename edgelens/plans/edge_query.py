@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import enrich_edges, sv_dimension
+from edgelens.operators.dimensions import BODY_BOX, SV_BOX, enrich_edges, keyed_once, sv_dimension
 from edgelens.operators.edges import (
     COORDINATE_FIELDS,
     drop_self_edges,
@@ -19,8 +19,8 @@ from edgelens.operators.filters import across_endpoints, eligible_endpoints, sto
 from edgelens.operators.ordering import Order, ordered
 from edgelens.operators.ranking import best_contact_per_pair
 from edgelens.operators.skew import deal_rows
-from edgelens.parameters import EdgeCriteria
-from edgelens.plans.skew_profile import SkewProfile, measure_skew
+from edgelens.parameters import EdgeCriteria, EdgeType
+from edgelens.plans.skew_profile import SkewProfile
 from edgelens.sources import TableSet
 
 
@@ -57,23 +57,29 @@ def edge_query(
     res: Resolution | int,
     criteria: EdgeCriteria = EdgeCriteria(),
     order_by: str | Order | None = None,
-    skew: SkewProfile | None = None,
+    skew: SkewProfile = SkewProfile(),
 ) -> DataFrame:
     """The best qualifying contact of each supervoxel pair at one resolution.
 
     Criteria apply before the best contact is chosen, so a pair whose best contact fails
     is represented by the best one that passes.
+
+    Few edges lie inside a body, and that shows only when both ends are known. Those edges
+    are joined to the boxes last, after the best contact is chosen; inter-body edges, most
+    of which stay, are joined once.
     """
-    skew = skew or measure_skew(tables, [res])
     contacts = stored_within_scores(tables.rsg[Resolution(res)], criteria.scores)
     edges = drop_self_edges(flatten_edges(contacts, res))
     edges = with_score(deal_rows(edges, skew.supervoxels), ScoreFn.OPTIMISTIC)
     # Tests on one end depend on its supervoxel alone: apply them to the dimension, once.
-    ends = eligible_endpoints(sv_dimension(tables, skew.bodies), criteria)
-    enriched = enrich_edges(edges, ends, skew.supervoxels)
-    kept = enriched.where(across_endpoints(criteria))
-    best = best_contact_per_pair(kept).select(*EDGE_COLUMNS, "rownum")
-    return ordered(best, order_by)
+    ends = keyed_once(eligible_endpoints(sv_dimension(tables, skew.bodies), criteria))
+    boxes_last = criteria.edge_type is EdgeType.INTRA_BODY
+    first = ends.drop(*BODY_BOX, *SV_BOX, "sv_mask") if boxes_last else ends
+    kept = enrich_edges(edges, first, skew.supervoxels).where(across_endpoints(criteria))
+    best = best_contact_per_pair(kept)
+    if boxes_last:
+        best = enrich_edges(best, ends, skew.supervoxels)
+    return ordered(best.select(*EDGE_COLUMNS, "rownum"), order_by)
 
 
 def edge_query_resolutions(
@@ -81,15 +87,13 @@ def edge_query_resolutions(
     criteria: EdgeCriteria = EdgeCriteria(),
     resolutions: Iterable[Resolution | int] = tuple(reversed(Resolution)),
     order_by: str | Order | None = None,
-    skew: SkewProfile | None = None,
+    skew: SkewProfile = SkewProfile(),
 ) -> DataFrame:
     """``edge_query`` at several resolutions, tagged with ``res``.
 
     Each resolution is a query of its own: pairs are not merged across them. Write the
     result with ``partition_by=["res"]`` to get one output per resolution.
     """
-    resolutions = list(resolutions)
-    skew = skew or measure_skew(tables, resolutions)
     per_resolution = [
         edge_query(tables, r, criteria, skew=skew).selectExpr(f"{int(r)} AS res", "*")
         for r in resolutions

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import enrich_edges, sv_bodies
+from edgelens.operators.dimensions import enrich_edges, keyed_once
 from edgelens.operators.edges import COORDINATE_FIELDS, Coordinates, flatten_edges, with_score
 from edgelens.operators.ordering import Order, by_ends_and_score, ordered
 from edgelens.operators.pairs import best_contact_of_wanted, once_per_request
-from edgelens.operators.skew import DEAL, HotKeys, find_hot_keys_if_large
+from edgelens.operators.skew import DEAL, HotKeys
 from edgelens.parameters import NEUROPIL
 from edgelens.sources import TableSet
 from edgelens.sources.schema import PAIR_LIST, conform
@@ -32,6 +32,23 @@ _NESTED = (
 MORE_VOXELS_THAN = 1_000_000
 
 
+def _ends(tables: TableSet, more_voxels_than: int) -> DataFrame:
+    """Body, size and class of the neuropil supervoxels above a size: from the stored
+    dimension if there is one, else from one scan of each table."""
+    if tables.dimension is not None:
+        known = tables.dimension.selectExpr("sv", "body", "sv_size AS sv_voxels", "sv_mask AS max_mask")
+    else:
+        sizes = tables.objinfo.selectExpr("id AS sv", "num_voxels AS sv_voxels")
+        classes = tables.mask.selectExpr("obj_id AS sv", "max_mask")
+        mapped = tables.agglo.selectExpr("id_a AS sv", "id_b")
+        known = (
+            sizes.join(classes, "sv")
+            .join(mapped, "sv", "left")
+            .selectExpr("sv", "coalesce(id_b, sv) AS body", "sv_voxels", "max_mask")
+        )
+    return keyed_once(known.where(f"sv_voxels > {more_voxels_than} AND max_mask = {NEUROPIL}"))
+
+
 def extract_pairs(
     tables: TableSet,
     pair_list: DataFrame,
@@ -39,7 +56,7 @@ def extract_pairs(
     more_voxels_than: int = MORE_VOXELS_THAN,
     keep_structs: bool = False,
     order_by: str | Order | None = (),
-    hot: HotKeys | None = None,
+    hot: HotKeys = HotKeys(),
 ) -> DataFrame:
     """The best contact of each listed pair, in either orientation, between neuropil
     supervoxels above a size.
@@ -47,7 +64,6 @@ def extract_pairs(
     Coordinates stay as stored. ``keep_structs`` returns them nested, as in the edge table.
     """
     pair_list = conform(pair_list, PAIR_LIST, "pair_list")
-    hot = find_hot_keys_if_large(pair_list, "sv_a", "sv_b") if hot is None else hot
     edges = with_score(
         flatten_edges(tables.rsg[Resolution(res)], res, Coordinates.STORED), ScoreFn.OPTIMISTIC
     )
@@ -55,14 +71,7 @@ def extract_pairs(
     if hot:
         # Rows of a hot label differ in the other label or the chunk: that deals them out.
         matched = matched.withColumn(DEAL, F.xxhash64("sv_a", "sv_b", "_chunk"))
-    large = tables.objinfo.where(f"num_voxels > {more_voxels_than}")
-    neuropil = tables.mask.where(f"max_mask = {NEUROPIL}")
-    ends = (
-        sv_bodies(tables)
-        .join(large.selectExpr("id AS sv", "num_voxels AS sv_voxels"), "sv")
-        .join(neuropil.selectExpr("obj_id AS sv", "max_mask"), "sv")
-    )
-    known = enrich_edges(matched, ends, hot)
+    known = enrich_edges(matched, _ends(tables, more_voxels_than), hot)
     contact = _NESTED if keep_structs else ("score_ab", "score_ba", *COORDINATE_FIELDS)
     result = known.selectExpr(
         "sv_a",

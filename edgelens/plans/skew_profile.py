@@ -9,8 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from edgelens.functions import Resolution
-from edgelens.operators.dimensions import fits_broadcast
-from edgelens.operators.skew import HotKeys, find_hot_keys_if_large
+from edgelens.operators.skew import HotKeys, find_hot_keys
 from edgelens.sources import TableSet
 
 
@@ -22,20 +21,22 @@ class SkewProfile:
     bodies: HotKeys = HotKeys()
 
 
-def measure_skew(tables: TableSet, resolutions: Iterable[Resolution | int]) -> SkewProfile:
+def measure_skew(
+    tables: TableSet,
+    resolutions: Iterable[Resolution | int] = tuple(Resolution),
+    tasks: int | None = None,
+) -> SkewProfile:
     """One pass over the label columns of the edges, and one over the body map unless the
     dimension is stored.
 
-    Tables that fit one task are not read, and nothing is where the node tables are
-    small enough to be broadcast to the edges.
+    No query does this by itself: pass the result to those that should split hot keys.
+    ``tasks`` is the number of equal tasks that a hot key is compared with.
     """
-    if fits_broadcast(tables):
-        return SkewProfile()
     labels = reduce(
         DataFrame.unionAll,
         (tables.rsg[Resolution(r)].select("label_a", "label_b") for r in resolutions),
     )
-    supervoxels = find_hot_keys_if_large(labels, "label_a", "label_b")
+    supervoxels = find_hot_keys(labels, "label_a", "label_b", tasks=tasks)
     if tables.dimension is not None:
         return SkewProfile(supervoxels)
-    return SkewProfile(supervoxels, find_hot_keys_if_large(tables.agglo, "id_b"))
+    return SkewProfile(supervoxels, find_hot_keys(tables.agglo, "id_b", tasks=tasks))

@@ -41,12 +41,8 @@ def tables(spark, tmp_path_factory):
 
 
 @pytest.fixture
-def shuffled(spark, monkeypatch):
+def shuffled(spark):
     """As on tables too large for any broadcast."""
-    from edgelens.operators import dimensions, pairs
-
-    monkeypatch.setattr(dimensions, "BROADCAST_OBJINFO_BYTES", 0)
-    monkeypatch.setattr(pairs, "BROADCAST_BYTES", 0)
     names = [f"spark.sql.{kind}autoBroadcastJoinThreshold" for kind in ("", "adaptive.")]
     before = {name: spark.conf.get(name, None) for name in names}
     for name in names:

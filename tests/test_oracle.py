@@ -6,8 +6,10 @@ from conftest import SF_DIR
 
 import __spark_entry__
 
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
+from edgelens.fixtures import oracle, registry
+
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 # No body of the smallest data is large enough for the batch criteria.
 LARGER = {"edge_query_intra", "intra_all_res", "export_provenance"}

@@ -71,3 +71,8 @@ def test_bounds_on_whole_numbers_are_whole():
 def test_unbounded_still_rejects_null(spark):
     df = spark.createDataFrame([(1,), (None,)], "n long")
     assert df.where(Bounds(float("-inf"), float("inf"), 0, 0).endpoint("n")).count() == 1
+
+
+@pytest.mark.parametrize("bound, end", [(1e19, 2**63 - 1), (1e40, 2**63 - 1), (-1e40, -(2**63) + 1)])
+def test_bounds_beyond_bigint_are_its_ends(bound, end):
+    assert Bounds(bound, bound, bound, bound).endpoint("n") == f"n BETWEEN {end} AND {end}"

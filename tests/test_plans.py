@@ -1,11 +1,13 @@
 """The physical plans that carry the queries at scale."""
 
 import re
+import sys
 
 import pytest
 
 from edgelens import (
     EdgeCriteria,
+    EdgeType,
     SkewProfile,
     best_edges_all_res,
     best_edges_one_res,
@@ -50,11 +52,19 @@ def test_no_window_without_partitions(tables, shuffled, name):
     assert "SinglePartition" not in plan_text(QUERIES[name](tables))
 
 
-def test_small_dimension_is_broadcast_and_edges_are_not_shuffled_to_it(tables):
-    text = plan_text(edge_query(tables, 8))
-    # one shuffle of the edges: the one on the pair, after each task cut its contacts
-    assert text.count("hashpartitioning(sv_a") == 1
-    assert "hashpartitioning(sv_b" not in text
+def test_boxes_of_intra_body_edges_come_after_the_best_contact(tables, monkeypatch):
+    module = sys.modules["edgelens.plans.edge_query"]
+    seen, real = [], module.best_contact_per_pair
+    monkeypatch.setattr(module, "best_contact_per_pair", lambda df: seen.append(df.columns) or real(df))
+    edge_query(tables, 8, EdgeCriteria(edge_type=EdgeType.INTRA_BODY))
+    assert not [c for c in seen[0] if "box" in c]
+
+
+def test_no_plan_stores_anything_on_the_way(tables, monkeypatch):
+    monkeypatch.setattr("edgelens.operators.ranking.freeze", lambda df: pytest.fail("stored"))
+    best_edges_all_res(tables)
+    best_edges_one_res(tables)
+    edge_query(tables, 8)
 
 
 def test_large_dimension_joins_shuffle_the_edges_once_per_side(tables, shuffled):

@@ -28,11 +28,11 @@ def test_one_stage_ranking_equals_two_stages(mapped):
     inter = E.edges_inter(mapped)
     order = ranking.best_first(inter)
     for n in (1, 10):
-        sides = ranking.side_ranks(inter, fits_one_task=True)
+        sides = ranking.side_ranks(inter)
         picked = sides.where(f"rank_a <= {n}").withColumn("ranked_body", F.col("body_a")).unionAll(
             sides.where(f"rank_b <= {n}").withColumn("ranked_body", F.col("body_b"))
         )
-        again = ranking.rank_within(picked, "ranked_body", order, "rank", fits_one_task=True)
+        again = ranking.rank_within(picked, "ranked_body", order, "rank")
         two_stages = again.where(f"rank <= {n}").drop("rank_a", "rank_b")
         assert difference_between(ranking.top_n_per_body(inter, n), two_stages) is None
 

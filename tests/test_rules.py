@@ -1,5 +1,8 @@
 """Hand-made cases for the rules that decide which edges are returned."""
 
+import dataclasses
+
+import pytest
 from tiny import contact, frame, pairs_of, tiny_tables
 
 from edgelens import (
@@ -231,3 +234,16 @@ def test_pair_listed_very_often(spark, monkeypatch):
     assert [r.sv_a for r in extract_pairs(tables, pair_list, order_by="sv_a desc").collect()] == (
         [3] * 4 + [1] * 11
     )
+
+
+@pytest.mark.parametrize(
+    "name", ["objinfo", "mask", "sv_tbars", "agglo", "body_sizes", "body_tbars"]
+)
+def test_a_repeated_lookup_key_is_an_error(spark, name):
+    tables = tiny_tables(spark, [contact(1, 2)], bodies={1: 5, 2: 6})
+    table = getattr(tables, name)
+    doubled = dataclasses.replace(tables, **{name: table.unionAll(table)})
+    with pytest.raises(Exception, match="repeats a key"):
+        edge_query(doubled, 8).collect()
+    with pytest.raises(ValueError, match=name):
+        doubled.check_keys()

@@ -2,6 +2,7 @@
 
 import pytest
 from compare import difference_between
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tiny import contact, tiny_tables
 
@@ -89,24 +90,16 @@ def test_extraction_gives_the_same_result_with_hot_keys(tables, shuffled):
     assert difference_between(split, extract_pairs(tables, listed, hot=HotKeys())) is None
 
 
-def test_skew_is_measured_only_on_large_tables(spark, tables, monkeypatch, shuffled):
-    assert measure_skew(tables, [8]) == SkewProfile()
-    monkeypatch.setattr(skew, "SMALL_TABLE_BYTES", 0)
-    # 4 shuffle partitions: no label and no body reaches a quarter of the rows
-    assert measure_skew(tables, [8]) == SkewProfile()
-    spark.conf.set("spark.sql.shuffle.partitions", "40")
-    try:
-        # the ten suppliers are at one end of every edge
-        assert set(measure_skew(tables, [8]).supervoxels.parts) == set(range(10))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    calls = []
-    monkeypatch.setattr(
-        "edgelens.plans.skew_profile.find_hot_keys_if_large",
-        lambda df, *columns: calls.append(columns) or HotKeys({5: 2}),
-    )
-    assert measure_skew(tables, [8, 16]).supervoxels
-    assert calls == [("label_a", "label_b"), ("id_b",)]
+def test_skew_is_measured_when_asked_for(tables):
+    # 4 tasks: no label and no body reaches a quarter of the rows
+    assert measure_skew(tables, [8], tasks=4) == SkewProfile()
+    # the ten suppliers are at one end of every edge
+    assert set(measure_skew(tables, [8], tasks=40).supervoxels.parts) == set(range(10))
+
+
+def test_more_tasks_than_can_be_tracked_are_refused(tables):
+    with pytest.raises(ValueError, match="tasks"):
+        measure_skew(tables, [8], tasks=200_000)
 
 
 def test_hub_that_is_best_for_everyone(spark, shuffled):
@@ -119,16 +112,18 @@ def test_hub_that_is_best_for_everyone(spark, shuffled):
     assert difference_between(split, plain) is None
 
 
+def _window_rank(df, group, order, name):
+    window = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window).cast("long"))
+
+
 def test_rank_of_a_group_larger_than_a_task(lopsided):
-    order = ["v"]
-    sliced = ranking.rank_within(lopsided, "k", order, "rank", fits_one_task=False)
-    window = ranking.rank_within(lopsided, "k", order, "rank", fits_one_task=True)
-    assert difference_between(sliced, window) is None
+    sliced = ranking.rank_within(lopsided, "k", ["v"], "rank")
+    assert difference_between(sliced, _window_rank(lopsided, "k", ["v"], "rank")) is None
 
 
 def test_large_group_of_copies_spans_slices(spark, lopsided, monkeypatch):
     slices = []
-    monkeypatch.setattr(ranking, "is_small", lambda df: False)
 
     def spy(df):
         counted = df.where("k = 7").groupBy("_slice").count().collect()
@@ -147,12 +142,39 @@ def test_large_group_of_copies_spans_slices(spark, lopsided, monkeypatch):
     assert ranks == list(range(1, 4001))
 
 
-def test_side_ranks_on_both_paths(tables):
-    edges = map_bodies(flatten_edges(tables.rsg[8], 8), tables.agglo).withColumn(
-        "score", F.col("score_ab")
+def _scored(tables):
+    edges = map_bodies(flatten_edges(tables.rsg[8], 8), tables.agglo)
+    return edges.withColumn("score", F.col("score_ab"))
+
+
+def test_side_ranks_are_those_of_a_window(tables):
+    edges = _scored(tables)
+    expected = edges
+    for side in ("a", "b"):
+        order = ranking.best_first(edges)
+        expected = _window_rank(expected, f"body_{side}", order, f"rank_{side}")
+    assert difference_between(ranking.side_ranks(edges), expected) is None
+
+
+def test_side_ranks_of_the_best_count_all_edges(tables, shuffled):
+    """Also where a third of all edges are at one body, and where edges are copies."""
+    edges = _scored(tables)
+    hub = edges.withColumn("body_a", F.expr("IF(pmod(xa, 3D) = 0, 1L, body_a)"))
+    edges = hub.unionAll(hub.where("pmod(xa, 7D) = 0"))
+    best = ranking.top_n_per_body(edges, 5)
+    ranked = ranking.side_ranks_of(best, edges)
+    keys = [c for c in edges.columns if c != "ranked_body"]
+    every = edges
+    for side in ("a", "b"):
+        every = _window_rank(every, f"body_{side}", ranking.best_first(edges), f"rank_{side}")
+    # of equal edges the ranks follow on each other, whichever has which
+    first = every.groupBy(*keys).agg(F.min("rank_a").alias("ra"), F.min("rank_b").alias("rb"))
+    got = ranked.groupBy("ranked_body", *keys).agg(
+        F.min("rank_a").alias("ra"), F.min("rank_b").alias("rb"), F.count("*").alias("n")
     )
-    sliced = ranking.side_ranks(edges, fits_one_task=False)
-    assert difference_between(sliced, ranking.side_ranks(edges, fits_one_task=True)) is None
+    assert got.count() > 0
+    assert got.select(*keys, "ra", "rb").distinct().subtract(first.select(*keys, "ra", "rb")).isEmpty()
+    assert ranked.count() == best.count()
 
 
 def test_positions_are_those_of_the_global_order(lopsided):
@@ -160,9 +182,3 @@ def test_positions_are_those_of_the_global_order(lopsided):
     rows = placed.orderBy("position").collect()
     assert [row.position for row in rows] == list(range(1, 12001))
     assert [(r.k, r.v) for r in rows] == sorted((r.k, r.v) for r in rows)
-
-
-def test_best_edges_of_large_tables_with_side_ranks(tables, shuffled, monkeypatch):
-    small = best_edges_all_res(tables, skew=SkewProfile())
-    monkeypatch.setattr("edgelens.plans.best_edges.is_small", lambda df: False)
-    assert difference_between(best_edges_all_res(tables, skew=PROFILE), small) is None

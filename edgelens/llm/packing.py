@@ -23,7 +23,7 @@ BLOCK_WINDOWS = 128
 #: Short pieces are bundled up to this many tokens before they are packed.
 BUNDLE = 64
 #: Distinct chunks of text whose ids a worker remembers; beyond it starts afresh.
-REMEMBER = 400_000
+REMEMBER = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -78,14 +78,16 @@ def pack_documents(
 
 # ------------------------------------------------------------------------------- tokenisation
 
+_SPACES = bytes(32 if 9 <= i <= 13 else i for i in range(256))
+_LOWER = bytes(i + 32 if 65 <= i <= 90 else _SPACES[i] for i in range(256))
 _ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
 
 def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Encodes texts to their ids as little-endian 32-bit numbers.
 
-    The tokenizer drops white space and never joins what it separates, so each chunk between
-    ASCII white space is encoded once and remembered.
+    The tokenizer lower-cases, drops white space and never joins what it separates, so each
+    chunk between ASCII white space, with A-Z as a-z, is encoded once and remembered.
     """
     if path in _ENCODERS:
         return _ENCODERS[path]
@@ -93,32 +95,37 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {"": b""}
-    spaces = "\t\n\x0b\x0c\r"
+    known: dict[bytes, bytes] = {b"": b""}
 
-    def learn(chunks: list[str]) -> dict[str, bytes]:
-        ids = (np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch(chunks, add_special_tokens=False))
-        return dict(zip(chunks, ids, strict=True))
+    def learn(chunks: list[bytes]) -> None:
+        found = tokenizer.encode_batch_fast([x.decode() for x in chunks], add_special_tokens=False)
+        known.update(zip(chunks, (np.array(x.ids, "<u4").tobytes() for x in found), strict=True))
+
+    def parts(chunk: bytes) -> tuple[bytes, ...]:
+        """A mark after an ASCII letter is encoded apart, as the tokenizer does."""
+        if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalpha():
+            return chunk[:-1], chunk[-1:]
+        return (chunk,)
 
     def encode(texts: list[str]) -> list[bytes]:
+        if len(known) > REMEMBER:
+            known.clear()
+            known[b""] = b""
         out = []
         for text in texts:
-            for space in spaces:
-                if space in text:
-                    text = text.replace(space, " ")
-            chunks = text.split(" ")
+            # a special token is written in lower case; nothing else may become one
+            chunks = text.encode().translate(_SPACES if "<|" in text else _LOWER).split(b" ")
             try:
                 out.append(b"".join(map(known.__getitem__, chunks)))
+                continue
             except KeyError:
-                missing = [x for x in set(chunks) if x not in known]
-                new = learn(missing)
-                if len(known) + len(missing) > REMEMBER:
-                    out.append(b"".join([known[x] if x in known else new[x] for x in chunks]))
-                    known.clear()
-                    known[""] = b""
-                else:
-                    known.update((k, v) for k, v in new.items() if len(k) <= 64)
-                    out.append(b"".join([new[x] if x in new else known[x] for x in chunks]))
+                missing = {x: parts(x) for x in set(chunks) if x not in known}
+            learn(list({y for x in missing.values() for y in x if y not in known}))
+            known.update((x, b"".join([known[y] for y in own])) for x, own in missing.items() if len(own) > 1)
+            out.append(b"".join(map(known.__getitem__, chunks)))
+            for x in missing:
+                if len(x) > 64:
+                    del known[x]
         return out
 
     _ENCODERS[path] = encode

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelens.llm import exact_dedup, html_extract, lang_id, mixing, secret_scan, warc
+from edgelens.llm import exact_dedup, html_extract, lang_id, mixing, quality_rules, secret_scan, warc
 from edgelens.llm.ngram_join import ngram_jaccard_join
 from edgelens.llm.nn_descent import embedding_near_duplicates
 from edgelens.llm.packing import pack_documents
@@ -64,14 +64,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.scan_secrets(docs, secret_scan.train(docs)))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+    return verdicts.drop("class_divergence", "word_divergence")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_ngram_join, op2_mixing, op3_language_id, op4_html_extraction, op5_packing,
         op6_token_counts, op7_warc, op8_embedding_near_dedup, op9_exact_dedup, op10_secret_scan,
+        op11_quality_rules,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for those that SQL can express; the tests hold the others against plain Python."""
-    return {"op2_mixing": mixing.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL, "op9_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op2_mixing": mixing.ORACLE_SQL,
+        "op7_warc": warc.ORACLE_SQL,
+        "op9_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op11_quality_rules": quality_rules.ORACLE_SQL,
+    }

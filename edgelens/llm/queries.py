@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelens.llm import exact_dedup, html_extract, lang_id, mixing, quality_rules, secret_scan, warc
+from edgelens.llm import exact_dedup, html_extract, lang_id, mixing, quality_rules, secret_scan, spelling, warc
 from edgelens.llm.ngram_join import ngram_jaccard_join
 from edgelens.llm.nn_descent import embedding_near_duplicates
 from edgelens.llm.packing import pack_documents
@@ -69,11 +69,15 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.drop("class_divergence", "word_divergence")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.corpus_words(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_ngram_join, op2_mixing, op3_language_id, op4_html_extraction, op5_packing,
         op6_token_counts, op7_warc, op8_embedding_near_dedup, op9_exact_dedup, op10_secret_scan,
-        op11_quality_rules,
+        op11_quality_rules, op12_spelling_variants,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
@@ -85,4 +89,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": warc.ORACLE_SQL,
         "op9_exact_dedup": exact_dedup.ORACLE_SQL,
         "op11_quality_rules": quality_rules.ORACLE_SQL,
+        "op12_spelling_variants": spelling.ORACLE_SQL,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelens.llm import exact_dedup, html_extract, lang_id, mixing, quality_rules, secret_scan, spelling, warc
+from edgelens.llm import conversation_repair, exact_dedup, html_extract, lang_id, mixing, quality_rules, secret_scan, spelling, warc
 from edgelens.llm.ngram_join import ngram_jaccard_join
 from edgelens.llm.nn_descent import embedding_near_duplicates
 from edgelens.llm.packing import pack_documents
@@ -73,11 +73,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(spelling.corpus_words(_table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_ngram_join, op2_mixing, op3_language_id, op4_html_extraction, op5_packing,
         op6_token_counts, op7_warc, op8_embedding_near_dedup, op9_exact_dedup, op10_secret_scan,
-        op11_quality_rules, op12_spelling_variants,
+        op11_quality_rules, op12_spelling_variants, op13_conversation_repair,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edgelens.llm.crc32_sql import CRC_TABLE, crc32
 from edgelens.llm.scratch import Scratch
 from edgelens.operators.ranking import rank_within
 
@@ -373,3 +374,98 @@ def repair_report(conversations: DataFrame) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"),
     )
+
+
+_NO_WAY = "{'c': 1000000000, 'a': ''}"
+
+
+def _sql_step(ways: list[tuple[str, str, str]]) -> str:
+    """The least of some weights, each (weight, cost added, edits added)."""
+    return "list_min([" + ", ".join(f"{{'c': {w}.c + {cost}, 'a': {w}.a || '{edits}'}}" for w, cost, edits in ways) + "])"
+
+
+def _sql_given(condition: str, ways: list[tuple[str, str, str]]) -> str:
+    return f"CASE WHEN {condition} THEN {_sql_step(ways)} ELSE {_NO_WAY} END"
+
+
+_OPEN = ("e0", "e1", "e3")  # weights of the states that a user's turn may follow
+#: The query's rows: a weight per state, carried from turn to turn by plain dynamic programming.
+ORACLE_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+hashed AS (
+    SELECT row_number() OVER () AS id, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+    FROM conversations, crc_table
+),
+turns AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE kind <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place
+    FROM turns
+),
+told AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault,
+           coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY place) || role[1] NOT IN ('su', 'ua', 'au'), FALSE) AS wrong
+    FROM placed
+),
+counts AS (
+    SELECT conv_id, max(place) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal
+    FROM told GROUP BY conv_id
+),
+steps AS (
+    SELECT conv_id, 0::BIGINT AS place, {{'c': 0, 'a': ''}} AS s0, {_NO_WAY} AS s1, {_NO_WAY} AS s2, {_NO_WAY} AS s3 FROM counts
+    UNION ALL
+    SELECT conv_id, place,
+           {_sql_step([("e0", "3", "D")])},
+           list_min([{_sql_step([("e1", "3", "D")])}, {_sql_given("keeps AND i = 's'", [("e0", "t", "K")])}]),
+           list_min([{_sql_step([("e2", "3", "D")])},
+                     {_sql_given("keeps AND i = 'u'", [(e, "t", "K") for e in _OPEN])},
+                     {_sql_given("keeps", [(e, "2 + t", "R") for e in _OPEN])}]),
+           list_min([{_sql_step([("e3", "3", "D")])},
+                     {_sql_given("keeps AND i = 'a'", [("e2", "t", "K")])}, {_sql_given("keeps", [("e2", "2 + t", "R")])}])
+    FROM (
+        SELECT s.conv_id, t.place, s0 AS e0, s1 AS e1,
+               {_sql_step([("s2", "0", ""), ("s0", "2", "I"), ("s1", "2", "I"), ("s3", "2", "I")])} AS e2,
+               {_sql_step([("s3", "0", ""), ("s2", "2", "I"), ("s0", "4", "II"), ("s1", "4", "II")])} AS e3,
+               t.role[1] AS i, t.fault IS NULL OR t.fault = 'truncated' AS keeps,
+               CASE WHEN t.fault = 'truncated' THEN 1 ELSE 0 END AS t
+        FROM steps s JOIN told t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.place = s.place + 1
+    )
+),
+audits AS (
+    SELECT s.conv_id, {_sql_step([("s0", "0", ""), ("s3", "0", ""), ("s2", "2", "I"), ("s1", "4", "II")])} AS best
+    FROM steps s JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND s.place = c.n
+),
+edits AS (
+    SELECT conv_id, i, best.a[i] AS edit, length(replace(best.a[:i], 'I', '')) AS place,
+           length(replace(best.a[:i], 'D', '')) AS out
+    FROM (SELECT *, unnest(range(1, length(best.a) + 1)) AS i FROM audits)
+),
+edited AS (
+    SELECT e.*, t.role, CASE WHEN edit = 'I' THEN '' ELSE t.text END AS text,
+           coalesce(bool_or(edit = 'K' AND out = 1 AND t.role[1] = 's') OVER (PARTITION BY e.conv_id), FALSE) AS led
+    FROM edits e LEFT JOIN told t ON edit <> 'I' AND t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.place = e.place
+),
+lines AS (
+    SELECT conv_id, i, text,
+           CASE WHEN edit = 'K' THEN role WHEN (out + led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END AS role
+    FROM edited WHERE edit <> 'D'
+),
+repaired AS (SELECT conv_id, string_agg(role || ':' || text, chr(10) ORDER BY i) AS body FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

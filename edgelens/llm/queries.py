@@ -94,4 +94,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_exact_dedup": exact_dedup.ORACLE_SQL,
         "op11_quality_rules": quality_rules.ORACLE_SQL,
         "op12_spelling_variants": spelling.ORACLE_SQL,
+        "op13_conversation_repair": conversation_repair.ORACLE_SQL,
     }

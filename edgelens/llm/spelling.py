@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edgelens.llm.crc32_sql import CRC_TABLE, crc32
 from edgelens.llm.scratch import Scratch
 
 #: What a word is, and which words are compared.
@@ -274,12 +275,7 @@ def _alphabet(first: int, last: int) -> str:
 #: The query's rows: CRC-32 by a table made from its polynomial, near words by what deleting one
 #: letter of each leaves.
 ORACLE_SQL = f"""
-WITH RECURSIVE crc_steps AS (
-    SELECT range AS i, range AS c, 0 AS step FROM range(256)
-    UNION ALL
-    SELECT i, xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END), step + 1 FROM crc_steps WHERE step < 8
-),
-crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_steps WHERE step = 8),
+WITH RECURSIVE {CRC_TABLE},
 runs AS (
     SELECT coalesce(doc_id::VARCHAR, '') AS id,
            unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
@@ -289,10 +285,7 @@ lowered AS (
     SELECT id, translate(run, '{_alphabet(65, 90)}', '{_alphabet(97, 122)}') AS run, count(*) AS n FROM runs GROUP BY ALL
 ),
 hashed AS (
-    SELECT run, n, xor(list_reduce(
-        list_concat([4294967295::BIGINT], flatten(list_transform(string_split(id || ':' || run, ''), lambda x:
-            CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))),
-        lambda c, b: xor(c >> 8, t[1 + xor(c, b) % 256])), 4294967295::BIGINT) AS h
+    SELECT run, n, {crc32("id || ':' || run")} AS h
     FROM lowered, crc_table
 ),
 words AS (

@@ -116,26 +116,30 @@ _INITIAL = str.maketrans(CUT + GOES, SOUND * 2)
 _PATHS = "array<struct<head: string, tail: string, cost: bigint, audit: string>>"
 
 
-def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per chunk: its ways through, illegal neighbours, first and last initial."""
-    kind = pa.list_(pa.struct([("head", pa.string()), ("tail", pa.string()), ("cost", pa.int64()), ("audit", pa.string())]))
-    for batch in batches:
-        chunks, codes = batch.column("chunk").to_pylist(), batch.column("codes").to_pylist()
-        paths, wrong, ends = [], [], []
-        for chunk, code in zip(chunks, codes, strict=True):
-            whole = chunk == 0 and len(code) < CHUNK
-            starts, goals = ((START,), ENDS) if whole else (STATES, STATES)
-            paths.append([
-                {"head": a, "tail": b, "cost": cost, "audit": audit}
-                for a in starts for b, (cost, audit) in lightest(code, a, goals)
-            ])
-            initials = code.translate(_INITIAL)
-            wrong.append(illegal(initials))
-            ends.append(initials[0] + initials[-1])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("conv"), batch.column("chunk"), pa.array(paths, kind), pa.array(wrong, pa.int64()), pa.array(ends, pa.string())],
-            ["conv", "chunk", "paths", "illegal", "ends"],
-        )
+def _chunk_batches(size: int):
+    """Per chunk of ``size`` turns: its ways through, illegal neighbours, first and last initial."""
+    way = pa.struct([("head", pa.string()), ("tail", pa.string()), ("cost", pa.int64()), ("audit", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunks, codes = batch.column("chunk").to_pylist(), batch.column("codes").to_pylist()
+            paths, wrong, ends = [], [], []
+            for chunk, code in zip(chunks, codes, strict=True):
+                whole = chunk == 0 and len(code) < size
+                starts, goals = ((START,), ENDS) if whole else (STATES, STATES)
+                paths.append([
+                    {"head": a, "tail": b, "cost": cost, "audit": audit}
+                    for a in starts for b, (cost, audit) in lightest(code, a, goals)
+                ])
+                initials = code.translate(_INITIAL)
+                wrong.append(illegal(initials))
+                ends.append(initials[0] + initials[-1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("conv"), batch.column("chunk"), pa.array(paths, pa.list_(way)), pa.array(wrong, pa.int64()), pa.array(ends, pa.string())],
+                ["conv", "chunk", "paths", "illegal", "ends"],
+            )
+
+    return run
 
 
 def _whole_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +311,7 @@ class Repairs:
         )
         chunks = chunks.select("conv", "chunk", F.expr("array_join(turns.code, '')").alias("codes"))
         conv = self.turns.schema["conv"].dataType.simpleString()
-        ways = chunks.mapInArrow(_chunk_batches, f"conv {conv}, chunk bigint, paths {_PATHS}, illegal bigint, ends string")
+        ways = chunks.mapInArrow(_chunk_batches(CHUNK), f"conv {conv}, chunk bigint, paths {_PATHS}, illegal bigint, ends string")
         whole = ways.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("chunk", "ends", "illegal", "paths"))).alias("chunks"))
         return whole.mapInArrow(_whole_batches, f"conv {conv}, illegal bigint, cost bigint, audit string")
 

@@ -9,8 +9,11 @@ from edgelens.plans import (
     best_edges_one_res,
     edge_query,
     edge_query_resolutions,
+    export_batch,
     extract_pairs,
+    load_skew,
     measure_skew,
+    store_skew,
 )
 from edgelens.sources import TableSet, run_sql
 
@@ -27,7 +30,10 @@ __all__ = [
     "best_edges_one_res",
     "edge_query",
     "edge_query_resolutions",
+    "export_batch",
     "extract_pairs",
+    "load_skew",
     "measure_skew",
     "run_sql",
+    "store_skew",
 ]

@@ -223,21 +223,16 @@ _BEST = f"SELECT {_ENRICHED_COLUMNS}, rownum FROM best"
 
 
 def _top_n_steps(n: int, res: str = "") -> list[tuple[str, str]]:
-    """Rank each side, cut, rank what is left of both sides together, cut again."""
-    order = _best_first(res)
+    """The rank of an edge at a body is its place among all edges of that body, at whichever end;
+    the rank of a side is its place among the edges with the same body at that side."""
 
-    def rank(key: str, name: str) -> str:
-        return f"row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS {name}"
+    def place(body: str) -> str:
+        return f"row_number() OVER (PARTITION BY {body} ORDER BY {_best_first(res)})"
 
     return [
-        ("by_side", f"SELECT *, {rank('body_a', 'rank_a')}, {rank('body_b', 'rank_b')} FROM cand"),
-        (
-            "picked",
-            f"SELECT *, body_a AS ranked_body FROM by_side WHERE rank_a <= {n} "
-            f"UNION ALL SELECT *, body_b AS ranked_body FROM by_side WHERE rank_b <= {n}",
-        ),
-        ("overall", f"SELECT *, {rank('ranked_body', 'rank')} FROM picked"),
-        ("top", f"SELECT * FROM overall WHERE rank <= {n}"),
+        ("by_side", f"SELECT *, {place('body_a')} AS rank_a, {place('body_b')} AS rank_b FROM cand"),
+        ("at_bodies", "SELECT *, unnest([body_a, body_b]) AS ranked_body FROM by_side"),
+        ("top", f"SELECT *, {place('ranked_body')} AS rank FROM at_bodies QUALIFY rank <= {n}"),
     ]
 
 
@@ -435,18 +430,22 @@ def oracle_sql() -> dict[str, str]:
     sql["best_edges_all_res_mask_b_from_a"] = _best_edges_all_res(mask_b_from_a=True)
     sql["best_edges_one_res"] = _best_edges_one_res()
     sql["best_edges_one_res_mask_b_from_a"] = _best_edges_one_res(True, ranked_body="")
-    sql["extract_pairs"] = _query(
-        _deduplicated(16),
-        _MATCHED,
-        ("mapped", _mapped("matched")),
-        final=f"SELECT {_SCORED}, sv_a AS label_a, sv_b AS label_b, rownum, body_a, body_b, "
-        "oa.num_voxels AS sv_voxels_a, ob.num_voxels AS sv_voxels_b, "
-        "ma.max_mask AS max_mask_a, mb.max_mask AS max_mask_b FROM mapped e "
-        "LEFT JOIN objinfo oa ON oa.id = sv_a LEFT JOIN objinfo ob ON ob.id = sv_b "
-        "LEFT JOIN obj_to_mask ma ON ma.obj_id = sv_a LEFT JOIN obj_to_mask mb ON mb.obj_id = sv_b "
-        "WHERE oa.num_voxels > 1000000 AND ob.num_voxels > 1000000 "
-        "AND ma.max_mask = 5 AND mb.max_mask = 5",
-    )
+    def extracted(more: str = "") -> str:
+        return _query(
+            _deduplicated(16),
+            _MATCHED,
+            ("mapped", _mapped("matched")),
+            final=f"SELECT {_SCORED}{more}, sv_a AS label_a, sv_b AS label_b, rownum, body_a, body_b, "
+            "oa.num_voxels AS sv_voxels_a, ob.num_voxels AS sv_voxels_b, "
+            "ma.max_mask AS max_mask_a, mb.max_mask AS max_mask_b FROM mapped e "
+            "LEFT JOIN objinfo oa ON oa.id = sv_a LEFT JOIN objinfo ob ON ob.id = sv_b "
+            "LEFT JOIN obj_to_mask ma ON ma.obj_id = sv_a LEFT JOIN obj_to_mask mb ON mb.obj_id = sv_b "
+            "WHERE oa.num_voxels > 1000000 AND ob.num_voxels > 1000000 "
+            "AND ma.max_mask = 5 AND mb.max_mask = 5",
+        )
+
+    sql["extract_pairs"] = extracted()
+    sql["extract_pairs_all_columns"] = extracted(", xa * 3 + z_nearby AS contact_area")
 
     for name in ("edge_query_inter", "best_edges_all_res", "extract_pairs"):
         sql[f"{name}_split"] = sql[name]
@@ -473,6 +472,22 @@ def oracle_sql() -> dict[str, str]:
         f"AS n_rows, row_number() OVER (ORDER BY {_BY_BODY_TBARS}) AS place FROM best) "
         "WHERE place <= 5",
     )
+    sql["export_overwrite"] = _query(*inter, final=_BEST)
+    sql["batch_export"] = _query(
+        *_edge_query_steps(_INTRA, _INTRA_CRITERIA, "TRUE"),
+        final=f"SELECT res, {_ENRICHED_COLUMNS}, rownum, res = 16 AS resumed FROM best",
+    )
+    of_part = ["objinfo", "sv_tbars", "agglo", "body_sizes", "body_tbars", "separate", "isolated"]
+    read = [("mask", "obj_to_mask", "part"), *((name, name, "part") for name in of_part)]
+    counted = [
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, '{file}.parquet' AS files FROM {table}"
+        for name, table, file in read
+    ]
+    counted.append(
+        "SELECT 'rsg32' AS table_name, count(*) AS n_rows, 'lineitem.parquet' AS files "
+        "FROM rsg WHERE res = 32"
+    )
+    sql["export_inputs"] = _query(final=" UNION ALL ".join(counted))
     limits = [(f"{ways}_way_score", "0::DOUBLE", "1::DOUBLE") for ways in ("one", "two")]
     for family, most in (("tbars", "1e6"), ("size", "1e11")):
         for kind in ("body", "sv"):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +22,21 @@ from edgelens.plans import (
     best_edges_one_res,
     edge_query,
     edge_query_resolutions,
+    export_batch,
     extract_pairs,
 )
 from edgelens.plans.best_edges import inter_body_candidates
 from edgelens.plans.skew_profile import measure_skew
 from edgelens.plans.edge_query import EDGE_COLUMNS
 from edgelens.sources import TableSet, run_sql
-from edgelens.sources.export import read_results, summarize, write_results
+from edgelens.sources.export import (
+    input_identity,
+    read_inputs,
+    read_provenance,
+    read_results,
+    summarize,
+    write_results,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,7 +170,7 @@ _ON_TABLES: dict[str, Callable[[TableSet], DataFrame]] = {
 
 def _split(tables: TableSet):
     """Hot keys as in a cluster of few tasks, where the suppliers are hubs."""
-    return measure_skew(tables, tasks=SPLIT_TASKS)
+    return measure_skew(tables, tasks=SPLIT_TASKS, with_ends=True)
 
 
 def extract_listed_pairs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,11 +188,48 @@ def extract_listed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pairs(fixture_tables(spark, sf_dir), pair_list(spark, sf_dir))
 
 
+def extract_pairs_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction from an edge table with a column the library does not know."""
+    tables = fixture_tables(spark, sf_dir)
+    area = F.col("eval.from_a.origin.x") * 3 + F.col("point.z")
+    edges = tables.rsg[NM16].withColumn("contact area", area)
+    wide = dataclasses.replace(tables, rsg={**tables.rsg, NM16: edges})
+    found = extract_pairs(wide, pair_list(spark, sf_dir), all_columns=True)
+    flat = [f"{field} AS {name}" for name, field in (E.SCORE_FIELDS | E.COORDINATE_FIELDS).items()]
+    return found.selectExpr("* EXCEPT (eval, point, `contact area`)", "`contact area` AS contact_area", *flat)
+
+
 def _exported(spark: SparkSession, sf_dir: str, format: str) -> DataFrame:
     df = edge_query(fixture_tables(spark, sf_dir), NM8, order_by=ordering.by_body_tbars())
     folder = shared_folder(spark)
     write_results(df, folder, format, parameters=EdgeCriteria().as_parameters())
-    return read_results(spark, folder, df, format)
+    return read_results(spark, folder, df)
+
+
+def export_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two results written to one folder."""
+    tables = fixture_tables(spark, sf_dir)
+    folder = shared_folder(spark)
+    write_results(best_edges_one_res(tables), folder)
+    df = edge_query(tables, NM8)
+    write_results(df, folder, overwrite=True)
+    return read_results(spark, folder, df)
+
+
+def batch_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a batch wrote, one resolution in a first call and the others in a second."""
+    tables = fixture_tables(spark, sf_dir)
+    folder = shared_folder(spark)
+    export_batch(tables, folder, INTRA_CRITERIA, [NM16])
+    outputs = export_batch(tables, folder, INTRA_CRITERIA)
+    like = edge_query(tables, NM8, INTRA_CRITERIA)
+    per_res = [
+        read_results(spark, output.folder, like).withColumns(
+            {"res": F.lit(int(res)), "resumed": F.lit(output.skipped)}
+        )
+        for res, output in outputs.items()
+    ]
+    return reduce(DataFrame.unionByName, per_res)
 
 
 def export_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,13 +242,24 @@ def export_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fixture_tables(spark, sf_dir)
     df = edge_query_resolutions(tables, INTRA_CRITERIA)
     folder = shared_folder(spark)
-    write_results(
+    run = write_results(
         df, folder, partition_by=["res"], parameters=INTRA_CRITERIA.as_parameters()
     )
-    record = spark.read.json(f"{folder}/provenance").select("parameters.*", "plan")
-    n_rows = read_results(spark, folder, df).count()
+    record = read_provenance(spark, folder).select("parameters.*", "plan")
     # Plans hold generated ids and file paths: report only that one was stored.
-    return record.selectExpr("* EXCEPT (plan)", "length(plan) > 0 AS plan", f"{n_rows}L AS n_rows")
+    return record.selectExpr("* EXCEPT (plan)", "length(plan) > 0 AS plan", f"{run.n_rows}L AS n_rows")
+
+
+def export_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table that an export read, as recorded beside its results."""
+    tables = fixture_tables(spark, sf_dir)
+    folder = shared_folder(spark)
+    found = best_edges_one_res(tables)
+    write_results(found, folder, inputs=input_identity(tables, [NM32]))
+    inputs = read_inputs(spark, folder)
+    # Paths differ from machine to machine: report the names of the files.
+    names = "array_join(array_sort(transform(files, f -> element_at(split(f.path, '/'), -1))), ' ')"
+    return inputs.selectExpr("table AS table_name", "n_rows", f"{names} AS files")
 
 
 def queries() -> dict[str, Query]:
@@ -215,6 +273,10 @@ def queries() -> dict[str, Query]:
         "extract_pairs_split": extract_listed_pairs_split,
         "export_roundtrip": lambda spark, sf_dir: _exported(spark, sf_dir, "parquet"),
         "export_csv_roundtrip": lambda spark, sf_dir: _exported(spark, sf_dir, "csv"),
+        "extract_pairs_all_columns": extract_pairs_all_columns,
+        "export_overwrite": export_overwrite,
+        "batch_export": batch_export,
+        "export_inputs": export_inputs,
         "export_summary": export_summary,
         "export_provenance": export_provenance,
     }

@@ -6,7 +6,7 @@ joins for the edge table, which is the large one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgelens.functions import box_end
@@ -33,16 +33,15 @@ def keyed_once(dimension: DataFrame) -> DataFrame:
     """``dimension`` with a check in the plan that no ``sv`` is there twice.
 
     A key repeated in any lookup table repeats a supervoxel here and would multiply edges. The
-    check groups on the supervoxel, whose shuffle the join to the edges needs anyway; put it
-    after filters, so that these reach the scans. ``TableSet.check_keys`` names the table.
+    check numbers the rows of each supervoxel: that needs them hashed and sorted by it, as the
+    join to the edges does anyway, and gathers no column. Put it after filters, so that these
+    reach the scans. ``TableSet.check_keys`` names the table. A stored dimension was checked when
+    it was stored and needs none.
     """
-    values = [c for c in dimension.columns if c != "sv"]
-    grouped = dimension.groupBy("sv").agg(
-        F.count("*").alias("_times"), *(F.first(c).alias(c) for c in values)
-    )
+    times = F.row_number().over(Window.partitionBy("sv").orderBy("sv"))
     message = F.concat(F.lit("a lookup table repeats a key, see check_keys; supervoxel "), "sv")
     once = F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return grouped.where(once).select("sv", *values)
+    return dimension.withColumn("_times", times).where(once).drop("_times")
 
 
 def sv_boxes(objinfo: DataFrame) -> DataFrame:
@@ -58,18 +57,24 @@ def sv_boxes(objinfo: DataFrame) -> DataFrame:
 
 
 def sv_bodies(tables: TableSet) -> DataFrame:
-    """Body of each supervoxel that exists."""
+    """Body of each supervoxel that exists, each of them once."""
     if tables.dimension is not None:
         return tables.dimension.select("sv", "body")
     mapped = tables.agglo.selectExpr("id_a AS id", "id_b")
     bodies = tables.objinfo.select("id").join(mapped, "id", "left")
-    return bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body")
+    return keyed_once(bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body"))
+
+
+def body_boxes(body_sizes: DataFrame) -> DataFrame:
+    """Size and box corners per body."""
+    return body_sizes.selectExpr(
+        "body", "body_size", *(f"{name.removeprefix('body_')} AS {name}" for name in BODY_BOX)
+    )
 
 
 def body_dimension(tables: TableSet) -> DataFrame:
     """Size, box, tbars and exclusion flag of every body that some table knows."""
-    boxes = (f"{name.removeprefix('body_')} AS {name}" for name in BODY_BOX)
-    sizes = tables.body_sizes.selectExpr("body", "body_size", *boxes)
+    sizes = body_boxes(tables.body_sizes)
     tbars = tables.body_tbars.selectExpr("body", "tbar_count AS body_tbars")
     # The exclusion set is kept per supervoxel, so a body may be listed many times.
     separate = tables.separate.distinct().selectExpr("body", "true AS listed")
@@ -104,6 +109,34 @@ def sv_dimension(tables: TableSet, hot_bodies: HotKeys = HotKeys()) -> DataFrame
     return joined.selectExpr("sv", "body", *ATTRIBUTES, "is_isolated", separate)
 
 
+def sv_ends(tables: TableSet, hot_bodies: HotKeys = HotKeys(), where: str = "true") -> DataFrame:
+    """``sv_dimension`` of the supervoxels that meet a condition, each of them once."""
+    ends = sv_dimension(tables, hot_bodies).where(where)
+    return ends if tables.dimension is not None else keyed_once(ends)
+
+
+def boxes_within_bodies(
+    edges: DataFrame,
+    tables: TableSet,
+    hot: HotKeys = HotKeys(),
+    hot_bodies: HotKeys = HotKeys(),
+) -> DataFrame:
+    """Add the boxes to edges that lie inside a body: those of both supervoxels, and the body's.
+
+    Only two tables are read for them, or the stored dimension: the edges have shown already that
+    both tables know each end once.
+    """
+    if tables.dimension is not None:
+        return enrich_edges(edges, tables.dimension.select("sv", *SV_BOX, *BODY_BOX), hot)
+    edges = enrich_edges(edges, sv_boxes(tables.objinfo).select("sv", *SV_BOX), hot)
+    if hot_bodies:
+        edges = edges.withColumn(DEAL, F.xxhash64("sv_a", "sv_b"))
+    bodies = body_boxes(tables.body_sizes).drop("body_size").withColumnRenamed("body", "_key")
+    found = lookup(edges, bodies, "body_a", hot_bodies)
+    both = (F.col(name).alias(f"{name}_{side}") for side in ("a", "b") for name in BODY_BOX)
+    return found.select(*edges.columns, *both)
+
+
 def enrich_edges(edges: DataFrame, dimension: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """Add every column of a supervoxel dimension for both ends, suffixed ``_a`` and ``_b``.
 

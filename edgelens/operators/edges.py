@@ -75,7 +75,8 @@ def union_resolutions(
 ) -> DataFrame:
     """The edges of several resolutions as one set, tagged with ``res``.
 
-    A pair may occur at more than one resolution; every contact is kept.
+    A pair may occur at more than one resolution; every contact is kept. Edge tables are added up
+    in the given order.
     """
     per_resolution = (
         flatten_edges(rsg[Resolution(r)], r, coordinates, f"{int(r)} AS res") for r in resolutions

@@ -61,20 +61,18 @@ def exclude_mutual(edges: DataFrame, separate: DataFrame, hot: HotKeys = HotKeys
     return allowed.drop("is_separate_a", "is_separate_b")
 
 
-def eligible_endpoints(dimension: DataFrame, criteria: EdgeCriteria) -> DataFrame:
-    """Supervoxels that can be an end of an edge at all.
+def eligible_endpoint(criteria: EdgeCriteria) -> str:
+    """Condition on a supervoxel that can be an end of an edge at all.
 
     Legal only before steps that look at one pair at a time. A ranking over many pairs
     must see the edges this would remove.
     """
     alone = [getattr(criteria, name).endpoint(name) for name in FAMILIES]
-    return dimension.where(
-        " AND ".join([f"sv_mask = {NEUROPIL}", "NOT is_isolated", *alone])
-    )
+    return " AND ".join([f"sv_mask = {NEUROPIL}", "NOT is_isolated", *alone])
 
 
 def across_endpoints(criteria: EdgeCriteria) -> str:
-    """What ``eligible_endpoints`` leaves to test: the kind of edge, and clauses that need
+    """What ``eligible_endpoint`` leaves to test: the kind of edge, and clauses that need
     both ends."""
     clauses = [EDGE_TYPE_CONDITION[criteria.edge_type], _NOT_BOTH_SEPARATE]
     for name in FAMILIES:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.operators.edges import drop_self_edges
+from edgelens.operators.pair_filter import may_be_wanted
 from edgelens.operators.ranking import best_contact_per_pair
 
 
@@ -30,15 +31,22 @@ def wanted_pairs(pair_list: DataFrame) -> DataFrame:
     return chunked.selectExpr("sv_a", "sv_b", "_chunk", in_chunk)
 
 
-def best_contact_of_wanted(edges: DataFrame, pair_list: DataFrame) -> DataFrame:
+def best_contact_of_wanted(
+    edges: DataFrame, pair_list: DataFrame, n_listed: int | None = None
+) -> DataFrame:
     """The best contact of each wanted pair that has an edge, with ``n_requests`` and
     ``_chunk``.
 
-    Each task first cuts its edges to one per pair; the list joins them on the partitioning
-    that the choice of the best contact leaves.
+    A Bloom filter of the list drops nearly all other edges at the scan, before the first
+    shuffle. Of what is left each task first cuts its edges to one per pair; the list joins them
+    on the partitioning that the choice of the best contact leaves. ``n_listed`` is the length of
+    the list, which sizes the filter; it is counted here if it is not given, which for a stored
+    list reads file footers only.
     """
-    best = best_contact_per_pair(drop_self_edges(edges))
-    return best.join(wanted_pairs(pair_list), ["sv_a", "sv_b"])
+    wanted = wanted_pairs(pair_list)
+    n_listed = pair_list.count() if n_listed is None else n_listed
+    near = may_be_wanted(drop_self_edges(edges), wanted, 2 * n_listed)
+    return best_contact_per_pair(near).join(wanted, ["sv_a", "sv_b"])
 
 
 def once_per_request(matched: DataFrame) -> DataFrame:
@@ -50,6 +58,8 @@ def once_per_request(matched: DataFrame) -> DataFrame:
     return matched.withColumn("_request", repeated).drop("_request", "_chunk", "n_requests")
 
 
-def match_pairs(edges: DataFrame, pair_list: DataFrame) -> DataFrame:
+def match_pairs(
+    edges: DataFrame, pair_list: DataFrame, n_listed: int | None = None
+) -> DataFrame:
     """The best contact of every listed pair in either orientation, one row per request."""
-    return once_per_request(best_contact_of_wanted(edges, pair_list))
+    return once_per_request(best_contact_of_wanted(edges, pair_list, n_listed))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgelens.operators.skew import DEAL
+from edgelens.operators.skew import DEAL, HotKeys
 from edgelens.operators.storage import freeze
 
 TIE_BREAK = (
@@ -48,9 +48,11 @@ def _numbered(
 def best_contact_per_pair(edges: DataFrame) -> DataFrame:
     """The best contact of each ordered supervoxel pair, with ``rownum`` (always 1).
 
-    Spark cuts each task to one row per pair before the shuffle.
+    Of edges tagged with ``res``, the best of each pair and resolution. Spark cuts each task to
+    one row per pair before the shuffle.
     """
-    window = Window.partitionBy("sv_a", "sv_b").orderBy(*best_first(edges))
+    pair = [c for c in ("sv_a", "sv_b", "res") if c in edges.columns]
+    window = Window.partitionBy(*pair).orderBy(*best_first(edges))
     best = edges.withColumn("rownum", F.row_number().over(window)).where("rownum = 1")
     return best.withColumn("rownum", F.col("rownum").cast("long"))
 
@@ -78,51 +80,83 @@ def side_ranks(edges: DataFrame) -> DataFrame:
     return edges
 
 
-# Scores lie between 0 and 1 as a rule; any other score falls into the first or last slice.
-SCORE_SLICES = 4096
+def top_n_with_side_ranks(edges: DataFrame, n: int, hot: HotKeys = HotKeys()) -> DataFrame:
+    """``top_n_per_body`` with ``rank_a`` and ``rank_b``, as ``side_ranks`` has them.
 
+    Every edge ahead of a picked one at the body it was picked for is picked as well, so its rank
+    on that side is a running count among the picked. Only its rank at the other body counts all
+    edges: the picked edges are dealt among the edges of that body, in order, and each takes the
+    number of edges before it. They bring their columns along, so that nothing is joined back.
 
-def side_ranks_of(best: DataFrame, edges: DataFrame) -> DataFrame:
-    """Add ``rank_a`` and ``rank_b``, as ``side_ranks`` has them among all ``edges``, to the
-    few ``best`` ones (with ``ranked_body``).
-
-    Edges of a body are counted by slices of the score. Only the slices in which a best edge
-    lies are put in order, so a body with a third of all edges is spread over many groups, and
-    nothing is stored in between.
+    ``hot`` are bodies at the ends of too many edges for one task; ``edges`` then have been
+    through ``deal_rows``. Their edges are dealt over parts whatever their scores are, each part
+    counts for all picked edges, and the counts are added up.
     """
     keys = [c for c in TIE_BREAK if c in edges.columns]
     order = best_first(edges)
-    copies = Window.partitionBy("ranked_body", "score", *keys).orderBy("rank")
-    best = best.withColumn("_copy", F.row_number().over(copies) - 1)
-    bound = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    place = F.coalesce(F.lit(SCORE_SLICES) - F.floor(bound * SCORE_SLICES), F.lit(SCORE_SLICES + 1))
-    for side in ("a", "b"):
-        group = F.col(f"body_{side}").alias("_body")
-        columns = [group, place.cast("int").alias("_slice"), "score", *keys]
-        asked = best.select(*columns).distinct()
-        rows = edges.select(*columns)
-        earlier = Window.partitionBy("_body").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = rows.groupBy("_body", "_slice").agg(F.count("*").alias("_n"))
-        before = sizes.select("_body", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-        near = rows.join(asked.select("_body", "_slice").distinct(), ["_body", "_slice"], "left_semi")
-        # an asked edge stands before the edges equal to it, and counts the edges before it
-        both = asked.withColumn("_is", F.lit(0)).unionByName(near.withColumn("_is", F.lit(1)))
-        upto = Window.partitionBy("_body", "_slice").orderBy(*order, "_is")
-        counted = both.withColumn("_in", F.sum("_is").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-        ranks = counted.where("_is = 0").join(before, ["_body", "_slice"])
-        ranks = ranks.select(
-            *(F.col(c).alias(f"_{c}") for c in ("score", *keys)), "_body", (F.col("_before") + F.col("_in") + 1).alias("_rank")
+    columns = [c for c in edges.columns if c != DEAL]
+    ends = F.array(*(F.struct(F.col(f"body_{s}").alias("_body"), F.lit(s).alias("_side")) for s in ("a", "b")))
+
+    picked = edges.select(*columns, F.explode(ends).alias("_end")).select(
+        *columns, F.col("_end._body").alias("ranked_body"), F.col("_end._side").alias("_own_side")
+    )
+    at_body = Window.partitionBy("ranked_body").orderBy(*order, "_own_side")
+    upto = at_body.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    picked = picked.withColumns(
+        {
+            "rank": F.row_number().over(at_body).cast("long"),
+            # copies of one edge follow on each other
+            "_copy": F.row_number().over(at_body) - F.rank().over(at_body),
+            "_own_a": F.sum(F.expr("if(_own_side = 'a', 1L, 0L)")).over(upto),
+            "_own_b": F.sum(F.expr("if(_own_side = 'b', 1L, 0L)")).over(upto),
+        }
+    ).where(F.col("rank") <= n)
+    is_a = F.col("_own_side") == "a"
+    asked = picked.withColumns(
+        {
+            "_body": F.when(is_a, F.col("body_b")).otherwise(F.col("body_a")),
+            "_side": F.when(is_a, "b").otherwise("a"),
+            "_own": F.when(is_a, F.col("_own_a")).otherwise(F.col("_own_b")),
+            "_edge": F.lit(0),
+        }
+    ).drop("_own_a", "_own_b")
+
+    dealt = [DEAL] if hot else []
+    rows = edges.select("score", *keys, *dealt, F.explode(ends).alias("_end"))
+    rows = rows.select("score", *keys, *dealt, "_end._body", "_end._side", F.lit(1).alias("_edge"))
+    group = ["_body", "_side"]
+    if hot:
+        parts = F.broadcast(hot.table(edges))
+        rows = (
+            rows.join(parts, F.col("_body") == F.col("_hot_key"), "left")
+            .withColumn("_part", F.coalesce(F.pmod(DEAL, "_parts"), F.lit(0)))
+            .drop("_hot_key", "_parts", DEAL)
+        )
+        asked = (
+            asked.join(parts, F.col("_body") == F.col("_hot_key"), "left")
+            .withColumn("_part", F.explode(F.expr("sequence(0L, coalesce(_parts, 1L) - 1L)")))
+            .drop("_hot_key", "_parts")
         )
-        # a score missing in one direction leaves nulls among the keys
-        match = F.col(f"body_{side}") == F.col("_body")
-        for c in ("score", *keys):
-            match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        best = (
-            best.join(ranks, match)
-            .withColumn(f"rank_{side}", (F.col("_rank") + F.col("_copy")).cast("long"))
-            .drop("_body", "_rank", *(f"_{c}" for c in ("score", *keys)))
+        group = [*group, "_part"]
+    among = Window.partitionBy(*group).orderBy(*order, "_edge")
+    before = F.sum("_edge").over(among.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = asked.unionByName(rows, allowMissingColumns=True).withColumn("_before", before).where("_edge = 0")
+    if hot:  # each part has counted for each picked edge, which its body and rank there tell apart
+        kept = [c for c in counted.columns if c not in ("_before", "_part")]
+        counted = (
+            counted.groupBy(F.col("ranked_body").alias("_at"), F.col("rank").alias("_rank"))
+            .agg(F.first(F.struct(*kept)).alias("_row"), F.sum("_before").alias("_before"))
+            .select("_row.*", "_before")
         )
-    return best.drop("_copy")
+    other = F.col("_before") + 1 + F.col("_copy")
+    is_a = F.col("_own_side") == "a"
+    return counted.select(
+        *columns,
+        "ranked_body",
+        "rank",
+        F.when(is_a, F.col("_own")).otherwise(other).cast("long").alias("rank_a"),
+        F.when(is_a, other).otherwise(F.col("_own")).cast("long").alias("rank_b"),
+    )
 
 
 def rank_within(

@@ -129,6 +129,9 @@ class TableNames(_Replaceable):
     """Physical table names. ``base_seg`` is the schema that holds them all.
 
     The defaults are fixed values: the names under which such datasets are stored.
+    ``rsg_table`` is the edge table of a query at one resolution; queries over several take the
+    three tables by resolution. ``sv_dimension_table`` and ``skew_table`` name a stored
+    supervoxel dimension and skew profile of the same tables, where there are any.
     """
 
     base_seg: str
@@ -141,6 +144,11 @@ class TableNames(_Replaceable):
     agglo_body_size_table: str = "agglo_rsg32_16_sep_8_sep1e6_body_sizes"
     body_tbar_count_table: str = "agglo_rsg32_16_sep_8_sep1e6_body_tbar_counts"
     sv_mut_excl_table: str = "svs_to_keep_separate_from_eachother"
+    rsg8_table: str = "rsg8"
+    rsg16_table: str = "rsg16"
+    rsg32_table: str = "rsg32"
+    sv_dimension_table: str = ""
+    skew_table: str = ""
 
     def __post_init__(self) -> None:
         Resolution.of_table(self.rsg_table)
@@ -150,5 +158,9 @@ class TableNames(_Replaceable):
         """Resolution of the edge table; the coordinate scale always follows it."""
         return Resolution.of_table(self.rsg_table)
 
+    def at(self, res: Resolution | int) -> str:
+        """Name of the edge table of a resolution."""
+        return getattr(self, f"rsg{int(Resolution(res))}_table")
+
     def as_parameters(self) -> dict[str, Any]:
         return {**dataclasses.asdict(self), "scale": self.res.scale}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import enrich_edges, keyed_once, sv_bodies, sv_dimension
+from edgelens.operators.dimensions import enrich_edges, sv_bodies, sv_ends
 from edgelens.operators.edges import (
     Coordinates,
     edges_inter,
@@ -23,7 +23,7 @@ from edgelens.operators.edges import (
 )
 from edgelens.operators.filters import all_criteria
 from edgelens.operators.ordering import Order, by_body_tbars, ordered
-from edgelens.operators.ranking import side_ranks_of, top_n_per_body
+from edgelens.operators.ranking import top_n_per_body, top_n_with_side_ranks
 from edgelens.operators.skew import DEAL, HotKeys, deal_rows
 from edgelens.parameters import EdgeCriteria
 from edgelens.plans.edge_query import EDGE_COLUMNS
@@ -41,7 +41,7 @@ def inter_body_candidates(
 
     With hot keys, ``edges`` must have been through ``deal_rows``.
     """
-    valid = valid_edges_with_bodies(with_score(edges, score_fn), keyed_once(sv_bodies(tables)), hot)
+    valid = valid_edges_with_bodies(with_score(edges, score_fn), sv_bodies(tables), hot)
     return edges_inter(valid)
 
 
@@ -55,8 +55,7 @@ def _checked(
     # Few rows are left, but one supervoxel may be the best partner of very many bodies:
     # the rows that end at it are told apart by the body they were ranked for.
     best = best.withColumn(DEAL, F.xxhash64("ranked_body", "rank")) if skew.supervoxels else best
-    ends = keyed_once(sv_dimension(tables, skew.bodies))
-    enriched = enrich_edges(best, ends, skew.supervoxels)
+    enriched = enrich_edges(best, sv_ends(tables, skew.bodies), skew.supervoxels)
     if mask_b_from_a:
         enriched = enriched.withColumn("sv_mask_b", F.col("sv_mask_a"))
     return enriched.where(all_criteria(criteria))
@@ -74,22 +73,22 @@ def best_edges_all_res(
 ) -> DataFrame:
     """The ``n`` best edges of each body over several resolutions, by the lower score.
 
-    ``with_side_ranks`` adds ``rank_a`` and ``rank_b``, for which all edges are counted once
-    per side; leave them out where only ``rank`` is used. ``mask_b_from_a`` tests
+    ``with_side_ranks`` adds ``rank_a`` and ``rank_b``, for which the edges of each body are put
+    in order once more; leave them out where only ``rank`` is used. ``mask_b_from_a`` tests
     the tissue class of the A end twice instead of both ends.
     """
     resolutions = list(resolutions)
     # A contact without both scores ranks below all others and is rejected in the end.
     scored = {Resolution(r): with_both_scores(tables.rsg[Resolution(r)]) for r in resolutions}
     edges = union_resolutions(scored, resolutions, Coordinates.INTEGER)
-    edges = deal_rows(edges, skew.supervoxels)
+    edges = deal_rows(edges, skew.supervoxels or skew.ends)
     candidates = inter_body_candidates(tables, edges, ScoreFn.PESSIMISTIC, skew.supervoxels)
-    candidates = candidates.drop(DEAL)
-    best = top_n_per_body(candidates, n)
     ranks = ["ranked_body", "rank"]
     if with_side_ranks:
-        best = side_ranks_of(best, candidates)
+        best = top_n_with_side_ranks(candidates, n, skew.ends)
         ranks += ["rank_a", "rank_b"]
+    else:
+        best = top_n_per_body(candidates.drop(DEAL), n)
     result = _checked(tables, best, criteria, mask_b_from_a, skew)
     return ordered(
         result.select("res", *ranks, *EDGE_COLUMNS),

@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from edgelens.functions import Resolution
 from edgelens.parameters import EdgeCriteria, TableNames
+from edgelens.plans.batch import Output, export_batch
 from edgelens.plans.edge_query import edge_query
+from edgelens.plans.skew_profile import SkewProfile, load_skew
 from edgelens.sources import TableSet
-from edgelens.sources.export import Summary, read_results, summarize, write_results
+from edgelens.sources.export import (
+    Summary,
+    input_identity,
+    read_results,
+    summarize,
+    write_results,
+)
 
 _TABLE_PARAMETERS = frozenset(f.name for f in dataclasses.fields(TableNames))
 
@@ -51,14 +61,53 @@ class EdgeQuery:
             "order_by": self.order_by,
         }
 
+    def tables(
+        self, spark: SparkSession, resolutions: Iterable[Resolution | int] | None = None
+    ) -> TableSet:
+        """The named tables, and the stored dimension if one is named."""
+        wanted = None if resolutions is None else tuple(Resolution(r) for r in resolutions)
+        return TableSet.from_catalog(spark, self.names, wanted)
+
+    def skew(self, spark: SparkSession) -> SkewProfile:
+        """The stored skew profile if one is named."""
+        if not self.names.skew_table:
+            return SkewProfile()
+        return load_skew(spark, f"{self.names.base_seg}.{self.names.skew_table}")
+
     def query(self, spark: SparkSession) -> DataFrame:
-        tables = TableSet.from_catalog(spark, self.names)
-        return edge_query(tables, self.names.res, self.criteria, self.order_by)
+        return edge_query(
+            self.tables(spark), self.names.res, self.criteria, self.order_by, self.skew(spark)
+        )
 
     def query_and_export(
         self, spark: SparkSession, folder: str, overwrite: bool = False, format: str = "parquet"
     ) -> Summary:
-        """Run the query, write results and provenance, and sum up what was written."""
+        """Run the query, write results, provenance and the identity of its inputs as a new run of
+        ``folder``, and sum up what was written."""
         df = self.query(spark)
-        write_results(df, folder, format, overwrite, parameters=self.parameters())
-        return summarize(read_results(spark, folder, df, format), self.order_by)
+        inputs = input_identity(self.tables(spark))
+        write_results(df, folder, format, overwrite, parameters=self.parameters(), inputs=inputs)
+        return summarize(read_results(spark, folder, df), self.order_by)
+
+    def batch_and_export(
+        self,
+        spark: SparkSession,
+        folder: str,
+        resolutions: Iterable[Resolution | int] = tuple(reversed(Resolution)),
+        overwrite: bool = False,
+        format: str = "parquet",
+    ) -> dict[Resolution, Output]:
+        """The query at several resolutions, each committed to a folder of its own; outputs that
+        an earlier call completed are skipped. See ``export_batch``."""
+        resolutions = tuple(Resolution(r) for r in resolutions)
+        return export_batch(
+            self.tables(spark, resolutions),
+            folder,
+            self.criteria,
+            resolutions,
+            self.order_by,
+            format,
+            overwrite,
+            self.skew(spark),
+            {k: v for k, v in self.parameters().items() if k not in ("rsg_table", "scale")},
+        )

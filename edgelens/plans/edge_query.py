@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import BODY_BOX, SV_BOX, enrich_edges, keyed_once, sv_dimension
+from edgelens.operators.dimensions import (
+    BODY_BOX,
+    SV_BOX,
+    boxes_within_bodies,
+    enrich_edges,
+    sv_ends,
+)
 from edgelens.operators.edges import (
     COORDINATE_FIELDS,
+    Coordinates,
     drop_self_edges,
     flatten_edges,
+    union_resolutions,
     with_score,
 )
-from edgelens.operators.filters import across_endpoints, eligible_endpoints, stored_within_scores
+from edgelens.operators.filters import across_endpoints, eligible_endpoint, stored_within_scores
 from edgelens.operators.ordering import Order, ordered
 from edgelens.operators.ranking import best_contact_per_pair
 from edgelens.operators.skew import deal_rows
@@ -68,18 +75,8 @@ def edge_query(
     are joined to the boxes last, after the best contact is chosen; inter-body edges, most
     of which stay, are joined once.
     """
-    contacts = stored_within_scores(tables.rsg[Resolution(res)], criteria.scores)
-    edges = drop_self_edges(flatten_edges(contacts, res))
-    edges = with_score(deal_rows(edges, skew.supervoxels), ScoreFn.OPTIMISTIC)
-    # Tests on one end depend on its supervoxel alone: apply them to the dimension, once.
-    ends = keyed_once(eligible_endpoints(sv_dimension(tables, skew.bodies), criteria))
-    boxes_last = criteria.edge_type is EdgeType.INTRA_BODY
-    first = ends.drop(*BODY_BOX, *SV_BOX, "sv_mask") if boxes_last else ends
-    kept = enrich_edges(edges, first, skew.supervoxels).where(across_endpoints(criteria))
-    best = best_contact_per_pair(kept)
-    if boxes_last:
-        best = enrich_edges(best, ends, skew.supervoxels)
-    return ordered(best.select(*EDGE_COLUMNS, "rownum"), order_by)
+    edges = flatten_edges(_scored_contacts(tables, res, criteria), res)
+    return ordered(_best_qualifying(tables, edges, criteria, skew), order_by)
 
 
 def edge_query_resolutions(
@@ -91,11 +88,33 @@ def edge_query_resolutions(
 ) -> DataFrame:
     """``edge_query`` at several resolutions, tagged with ``res``.
 
-    Each resolution is a query of its own: pairs are not merged across them. Write the
-    result with ``partition_by=["res"]`` to get one output per resolution.
+    Pairs are not merged across resolutions: the best contact is that of a pair and resolution.
+    All edges go through the two joins together, so what is known about supervoxels is gathered
+    once. Write the result with ``partition_by=["res"]`` to get one folder per resolution, or
+    see ``edgelens.plans.batch`` for outputs that are committed one by one.
     """
-    per_resolution = [
-        edge_query(tables, r, criteria, skew=skew).selectExpr(f"{int(r)} AS res", "*")
-        for r in resolutions
-    ]
-    return ordered(reduce(DataFrame.unionAll, per_resolution), order_by)
+    resolutions = [Resolution(r) for r in resolutions]
+    contacts = {r: _scored_contacts(tables, r, criteria) for r in resolutions}
+    edges = union_resolutions(contacts, resolutions, Coordinates.FLOAT)
+    return ordered(_best_qualifying(tables, edges, criteria, skew), order_by)
+
+
+def _scored_contacts(tables: TableSet, res: Resolution | int, criteria: EdgeCriteria) -> DataFrame:
+    return stored_within_scores(tables.rsg[Resolution(res)], criteria.scores)
+
+
+def _best_qualifying(
+    tables: TableSet, edges: DataFrame, criteria: EdgeCriteria, skew: SkewProfile
+) -> DataFrame:
+    tag = [c for c in ("res",) if c in edges.columns]
+    edges = drop_self_edges(edges)
+    edges = with_score(deal_rows(edges, skew.supervoxels), ScoreFn.OPTIMISTIC)
+    # Tests on one end depend on its supervoxel alone: apply them to the dimension, once.
+    ends = sv_ends(tables, skew.bodies, eligible_endpoint(criteria))
+    boxes_last = criteria.edge_type is EdgeType.INTRA_BODY
+    first = ends.drop(*BODY_BOX, *SV_BOX) if boxes_last else ends
+    kept = enrich_edges(edges, first, skew.supervoxels).where(across_endpoints(criteria))
+    best = best_contact_per_pair(kept)
+    if boxes_last:
+        best = boxes_within_bodies(best, tables, skew.supervoxels, skew.bodies)
+    return best.select(*tag, *EDGE_COLUMNS, "rownum")

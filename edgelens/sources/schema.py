@@ -45,10 +45,27 @@ SEPARATE = _table(body=_ID)
 ISOLATED = _table(sv=_ID)
 PAIR_LIST = _table(sv_a=_ID, sv_b=_ID)
 
+# What ``edgelens.operators.dimensions.sv_dimension`` gathers.
+_CORNERS = [f"{axis}{corner}" for corner in (0, 1) for axis in ("x", "y", "z")]
+SV_DIMENSION = _table(
+    sv=_ID,
+    body=_ID,
+    sv_mask=T.IntegerType(),
+    body_tbars=_COUNT,
+    sv_tbars=_COUNT,
+    body_size=_COUNT,
+    **{f"body_box_{c}": _CORNER for c in _CORNERS},
+    sv_size=_COUNT,
+    **{f"sv_box_{c}": _CORNER for c in _CORNERS},
+    is_isolated=T.BooleanType(),
+    is_separate=T.BooleanType(),
+)
+
 
 def _missing(have: T.DataType, want: T.DataType, path: str) -> list[str]:
     if not isinstance(want, T.StructType):
-        return [] if isinstance(have, T.NumericType) else [f"{path} is {have.simpleString()}"]
+        fits = isinstance(have, T.BooleanType if want == T.BooleanType() else T.NumericType)
+        return [] if fits else [f"{path} is {have.simpleString()}"]
     if not isinstance(have, T.StructType):
         return [f"{path} is {have.simpleString()}"]
     fields = {f.name: f.dataType for f in have}
@@ -62,8 +79,9 @@ def _missing(have: T.DataType, want: T.DataType, path: str) -> list[str]:
     return problems
 
 
-def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
-    """Check that ``df`` has the columns of ``schema`` and keep just those.
+def conform(df: DataFrame, schema: T.StructType, table: str, more: bool = False) -> DataFrame:
+    """Check that ``df`` has the columns of ``schema`` and keep just those, or with ``more`` put
+    the others behind them as they are.
 
     Top-level numbers are cast once here, so that a decimal label cannot turn each
     later join key into a decimal. Nested columns stay as they are stored: a cast
@@ -72,16 +90,23 @@ def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     if problems := _missing(df.schema, schema, ""):
         raise ValueError(f"table {table!r} does not fit: {', '.join(problems)}")
     have = {f.name: f.dataType for f in df.schema}
+    others = [name for name in have if more and name not in schema.names]
     return df.select(
         *(
             F.col(f.name)
             if isinstance(f.dataType, T.StructType) or have[f.name] == f.dataType
             else F.col(f.name).cast(f.dataType).alias(f.name)
             for f in schema
-        )
+        ),
+        *(F.col(quoted(name)) for name in others),
     )
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or blanks, as an identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys held by more than one row, with their row count."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -35,12 +35,16 @@ class TableSet:
 
     def __post_init__(self) -> None:
         edges = {
-            Resolution(res): schema.conform(df, schema.RSG, f"rsg{int(res)}")
+            # queries prune what they do not use; ``extract_pairs`` may pass all columns on
+            Resolution(res): schema.conform(df, schema.RSG, f"rsg{int(res)}", more=True)
             for res, df in self.rsg.items()
         }
         object.__setattr__(self, "rsg", edges)
         for name, expected in _NODE_SCHEMAS.items():
             object.__setattr__(self, name, schema.conform(getattr(self, name), expected, name))
+        if self.dimension is not None:
+            checked = schema.conform(self.dimension, schema.SV_DIMENSION, "dimension")
+            object.__setattr__(self, "dimension", checked)
 
     @property
     def spark(self) -> SparkSession:
@@ -55,8 +59,9 @@ class TableSet:
     ) -> TableSet:
         """Bind catalog tables.
 
-        Without ``resolutions`` only the edge table in ``names`` is bound; with them,
-        the table ``rsg<res>`` of each.
+        Without ``resolutions`` only the edge table of one query in ``names`` is bound; with
+        them, the edge table of each. A stored dimension is bound if it is named, and must be
+        one that ``store_dimension`` has checked.
         """
 
         def table(name: str) -> DataFrame:
@@ -65,7 +70,13 @@ class TableSet:
         if resolutions is None:
             edges = {names.res: table(names.rsg_table)}
         else:
-            edges = {Resolution(r): table(f"rsg{int(r)}") for r in resolutions}
+            edges = {Resolution(r): table(names.at(r)) for r in resolutions}
+        dimension = None
+        if names.sv_dimension_table:
+            stored = f"{names.base_seg}.{names.sv_dimension_table}"
+            if not has_unique_keys(spark, stored):
+                raise ValueError(f"table {stored!r} is not a checked supervoxel dimension")
+            dimension = spark.table(stored)
         return cls(
             rsg=edges,
             objinfo=table(names.sv_objinfo_table),
@@ -76,6 +87,7 @@ class TableSet:
             body_tbars=table(names.body_tbar_count_table),
             separate=table(names.sv_mut_excl_table),
             isolated=table(names.sv_excl_table),
+            dimension=dimension,
         )
 
     @classmethod
@@ -95,6 +107,13 @@ class TableSet:
             **{name: table(name) for name in _NODE_SCHEMAS},
         )
 
+    def named(self, resolutions: Iterable[Resolution | int] | None = None) -> dict[str, DataFrame]:
+        """The tables by name; of the edge tables, those of ``resolutions``."""
+        wanted = self.rsg if resolutions is None else [Resolution(r) for r in resolutions]
+        tables = {f"rsg{int(r)}": self.rsg[r] for r in wanted}
+        tables |= {name: getattr(self, name) for name in _NODE_SCHEMAS}
+        return tables if self.dimension is None else tables | {"dimension": self.dimension}
+
     def write_parquet(self, folder: str) -> None:
         """Store every table in the layout that ``from_parquet`` reads."""
         for res, df in self.rsg.items():
@@ -140,14 +159,25 @@ _NODE_SCHEMAS = {
 }
 
 
+# Property of a stored table that says that its keys were found to be unique.
+UNIQUE_KEYS = "edgelens.unique.keys"
+
+
+def mark_unique_keys(spark: SparkSession, table: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{UNIQUE_KEYS}' = 'true')")
+
+
+def has_unique_keys(spark: SparkSession, table: str) -> bool:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table} ('{UNIQUE_KEYS}')").first()
+    return found is not None and found["value"] == "true"
+
+
 def run_sql(tables: TableSet, text: str, **frames: DataFrame) -> DataFrame:
     """Run SQL that names the tables in braces: ``select * from {rsg8} join {objinfo} ...``.
 
     Keyword arguments add further frames. The result is lazy; ``toPandas()`` on it
     gives a local frame when it is known to be small.
     """
-    named = {f"rsg{int(res)}": df for res, df in tables.rsg.items()}
-    named |= {name: getattr(tables, name) for name in _NODE_SCHEMAS}
-    named |= frames
+    named = tables.named() | frames
     used = {name: df for name, df in named.items() if "{" + name + "}" in text}
     return tables.spark.sql(text, **used)

@@ -12,17 +12,24 @@ from edgelens import (
     best_edges_all_res,
     best_edges_one_res,
     edge_query,
+    edge_query_resolutions,
     extract_pairs,
 )
+from edgelens.functions import ScoreFn
 from edgelens.operators.filters import exclude_isolated
-from edgelens.operators.edges import flatten_edges
+from edgelens.operators.edges import flatten_edges, with_score
+from edgelens.operators.pairs import best_contact_of_wanted
 from edgelens.operators.skew import HotKeys
 from edgelens.sources.export import plan_text
 
 
 def operators(df):
     """Names of the physical operators, as often as they occur."""
-    tree = plan_text(df).split("\n\n")[0]
+    return operators_in(plan_text(df))
+
+
+def operators_in(text):
+    tree = text.split("\n\n")[0]
     return re.findall(r"^[\s:|+*\-]*(?:\(\d+\) )?([A-Z]\w+)", tree.replace("* ", ""), re.MULTILINE)
 
 
@@ -119,6 +126,53 @@ def test_nested_columns_are_pruned(tables):
     )
 
 
+def test_side_ranks_add_one_shuffle_of_the_edges(tables, shuffled):
+    plain = plan_text(best_edges_all_res(tables, with_side_ranks=False))
+    ranked = plan_text(best_edges_all_res(tables))
+    assert ranked.count("Location: ") <= 40
+    assert ranked.count("hashpartitioning(ranked_body") == 1
+    assert len(re.findall(r"hashpartitioning\(_body#\d+L?, _side#\d+, \d+\)", ranked)) == 1
+    assert plain.count("hashpartitioning(_body") == 0
+
+
+def test_edges_of_both_uses_are_shuffled_to_their_bodies_once(tables, shuffled):
+    """The ranking and the counting read the same shuffles of the edge tables."""
+    df = best_edges_all_res(tables)
+    text = final_plan(df)
+    assert len(re.findall(r"Reused\w*Exchange|ReusedExchange", text)) >= 3
+
+
+def test_resolutions_share_one_dimension(tables, shuffled):
+    criteria = EdgeCriteria(edge_type=EdgeType.INTRA_BODY)
+    one, three = (
+        plan_text(edge_query(tables, 8, criteria)),
+        plan_text(edge_query_resolutions(tables, criteria)),
+    )
+    assert three.count("Location: ") == one.count("Location: ") + 2
+    assert operators_in(one).count("SortMergeJoin") == operators_in(three).count("SortMergeJoin")
+
+
+def test_a_dimension_is_checked_without_gathering_its_columns(tables, shuffled):
+    text = plan_text(edge_query(tables, 8))
+    assert "first(" not in text
+
+
+def test_unwanted_edges_are_dropped_before_their_shuffle(tables, shuffled):
+    listed = tables.rsg[16].selectExpr("label_a AS sv_a", "label_b AS sv_b").limit(5)
+    matched = best_contact_of_wanted(flatten_scored(tables), listed, 5)
+    tree = plan_text(matched).split("\n\n")[0].splitlines()
+    depth = {name: [i for i, line in enumerate(tree) if name in line] for name in ("WindowGroupLimit", "BroadcastHashJoin", "Exchange")}
+    window, join = depth["WindowGroupLimit"][-1], depth["BroadcastHashJoin"][0]
+    # from the scan up: the filter, the cut within the task, the shuffle, the choice
+    assert window < join
+    assert not [i for i in depth["Exchange"] if window < i < join]
+    assert "PushedFilters: [IsNotNull(label_a), IsNotNull(label_b)" in plan_text(matched)
+
+
+def flatten_scored(tables):
+    return with_score(flatten_edges(tables.rsg[16], 16), ScoreFn.OPTIMISTIC)
+
+
 def test_isolation_is_an_anti_join(tables, shuffled):
     text = plan_text(exclude_isolated(flatten_edges(tables.rsg[8], 8), tables.isolated))
     assert text.count("Join type: LeftAnti") == 2

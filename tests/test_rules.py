@@ -14,6 +14,7 @@ from edgelens import (
 )
 from edgelens.operators.edges import Coordinates, flatten_edges
 from edgelens.operators.ordering import ordered
+from edgelens.operators.pair_filter import MOST_BUCKETS, buckets_for, may_be_wanted
 from edgelens.sources.schema import PAIR_LIST
 
 NAN = float("nan")
@@ -215,6 +216,38 @@ def test_extracted_contact_can_stay_nested(spark):
     assert row.score is None
 
 
+def test_stored_columns_are_passed_on_as_they_are(spark):
+    tables = tiny_tables(spark, {16: [contact(1, 2, NAN, 0.3, at=4), contact(3, 4, 0.2, None)]})
+    more = tables.rsg[16].selectExpr("*", "'x' AS `a.b`", "label_a * 2.5D AS score", "array(label_b) AS seen")
+    wide = dataclasses.replace(tables, rsg={16: more})
+    rows = {r.sv_a: r for r in extract_pairs(wide, listed(spark, (2, 1), (3, 4)), all_columns=True).collect()}
+    stored = {r.label_a: r for r in more.collect()}
+    for sv, row in rows.items():
+        kept = (row.label_a, row.label_b, row.eval, row.point, row["a.b"], row.stored_score, row.seen)
+        assert repr(kept) == repr(tuple(stored[sv]))
+    assert repr(rows[1].eval.from_a.segment_b_consistency) == "nan"
+    assert rows[1].score is None and rows[3].score is None
+    assert "a.b" not in extract_pairs(wide, listed(spark, (1, 2)), keep_structs=True).columns
+
+
+def test_pair_filter_lets_few_unasked_edges_pass(spark):
+    edges = spark.range(200_000).selectExpr("id AS sv_a", "id * 7 % 100003 AS sv_b")
+    pairs = edges.where("sv_a % 100 = 0")
+    passed = may_be_wanted(edges, pairs, 2000)
+    assert pairs.exceptAll(passed).isEmpty()
+    assert passed.count() <= 2 * pairs.count()
+
+
+def test_pair_filter_of_any_size_keeps_what_is_asked(spark):
+    edges = spark.range(5000).selectExpr("id AS sv_a", "id * 3 AS sv_b")
+    odd = spark.createDataFrame([(None, 1), (2, None)], "sv_a long, sv_b long")
+    for n in (0, 1, 17, 5000):
+        pairs = edges.where(f"sv_a < {n}").unionAll(odd)
+        for told in (0, 1, n, 10**9):
+            assert pairs.dropna().exceptAll(may_be_wanted(edges, pairs, told)).isEmpty()
+    assert buckets_for(0) == 1 and buckets_for(257) == 2 and buckets_for(10**12) == MOST_BUCKETS
+
+
 def test_order_as_text(spark):
     contacts = [contact(1, 2), contact(3, 4), contact(5, 6)]
     tables = tiny_tables(spark, contacts, sv_tbars={3: 90, 4: 80})

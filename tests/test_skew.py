@@ -11,7 +11,9 @@ from edgelens import (
     best_edges_all_res,
     edge_query,
     extract_pairs,
+    load_skew,
     measure_skew,
+    store_skew,
 )
 from edgelens.operators import ranking, skew
 from edgelens.operators.edges import flatten_edges, map_bodies, valid_edges
@@ -74,7 +76,9 @@ def test_operators_accept_hot_keys(tables, shuffled):
 
 
 # Labels 0 to 9 are the suppliers of the smallest data: each is on a tenth of all edges.
-PROFILE = SkewProfile(HotKeys({sv: 3 for sv in range(10)}), HotKeys({0: 2, 8: 4}))
+PROFILE = SkewProfile(
+    HotKeys({sv: 3 for sv in range(10)}), HotKeys({0: 2, 8: 4}), HotKeys({0: 3, 7: 2})
+)
 
 
 @pytest.mark.parametrize("query", [edge_query, best_edges_all_res])
@@ -105,7 +109,7 @@ def test_more_tasks_than_can_be_tracked_are_refused(tables):
 def test_hub_that_is_best_for_everyone(spark, shuffled):
     contacts = {32: [contact(sv, 1, 0.9, 0.9) for sv in range(2, 40)]}
     tables = tiny_tables(spark, contacts, svs=range(1, 40))
-    profile = SkewProfile(HotKeys({1: 5}), HotKeys({1: 3}))
+    profile = SkewProfile(HotKeys({1: 5}), HotKeys({1: 3}), HotKeys({1: 4}))
     split = best_edges_all_res(tables, n=2, resolutions=[32], skew=profile)
     plain = best_edges_all_res(tables, n=2, resolutions=[32], skew=SkewProfile())
     assert split.count() == 40
@@ -156,25 +160,48 @@ def test_side_ranks_are_those_of_a_window(tables):
     assert difference_between(ranking.side_ranks(edges), expected) is None
 
 
-def test_side_ranks_of_the_best_count_all_edges(tables, shuffled):
+@pytest.mark.parametrize("parts", [{}, {1: 5, 3: 2}])
+def test_side_ranks_of_the_best_count_all_edges(tables, shuffled, parts):
     """Also where a third of all edges are at one body, and where edges are copies."""
     edges = _scored(tables)
     hub = edges.withColumn("body_a", F.expr("IF(pmod(xa, 3D) = 0, 1L, body_a)"))
     edges = hub.unionAll(hub.where("pmod(xa, 7D) = 0"))
+    ranked = ranking.top_n_with_side_ranks(deal_rows(edges, bool(parts)), 5, HotKeys(parts))
     best = ranking.top_n_per_body(edges, 5)
-    ranked = ranking.side_ranks_of(best, edges)
-    keys = [c for c in edges.columns if c != "ranked_body"]
+    shown = ["ranked_body", "rank", *edges.columns]
+    assert difference_between(ranked.select(shown), best.select(shown)) is None
+    keys = edges.columns
     every = edges
     for side in ("a", "b"):
         every = _window_rank(every, f"body_{side}", ranking.best_first(edges), f"rank_{side}")
     # of equal edges the ranks follow on each other, whichever has which
     first = every.groupBy(*keys).agg(F.min("rank_a").alias("ra"), F.min("rank_b").alias("rb"))
-    got = ranked.groupBy("ranked_body", *keys).agg(
-        F.min("rank_a").alias("ra"), F.min("rank_b").alias("rb"), F.count("*").alias("n")
-    )
+    got = ranked.groupBy("ranked_body", *keys).agg(F.min("rank_a").alias("ra"), F.min("rank_b").alias("rb"))
     assert got.count() > 0
     assert got.select(*keys, "ra", "rb").distinct().subtract(first.select(*keys, "ra", "rb")).isEmpty()
-    assert ranked.count() == best.count()
+    copies = ranked.groupBy("ranked_body", *keys).agg(
+        F.count("*").alias("n"), F.countDistinct("rank_a").alias("na"), F.countDistinct("rank_b").alias("nb")
+    )
+    within = copies.where("body_a <> body_b")
+    assert within.where("n > 1").count() > 0
+    assert within.where("n <> na OR n <> nb").isEmpty()
+
+
+def test_hot_body_at_one_score_is_spread_over_tasks(spark, shuffled):
+    """All edges of a hub have one score, so that no order of scores could split them."""
+    contacts = [contact(sv, 1, 0.5, 0.5) for sv in range(2, 402)]
+    contacts += [contact(sv, sv + 1, 0.9, 0.9) for sv in range(2, 400, 2)]
+    tables = tiny_tables(spark, {8: contacts}, svs=range(1, 402))
+    profile = measure_skew(tables, [8], tasks=8, with_ends=True)
+    assert set(profile.ends.parts) == {1} and profile.ends.parts[1] >= 4
+    split = best_edges_all_res(tables, n=2, resolutions=[8], skew=profile)
+    plain = best_edges_all_res(tables, n=2, resolutions=[8])
+    assert split.where("rank_b > 300").count() > 0
+    assert difference_between(split, plain) is None
+    # the parts a window sees are those dealt by the scan
+    edges = deal_rows(flatten_edges(tables.rsg[8], 8), True).where("sv_b = 1")
+    parts = edges.groupBy(F.pmod(skew.DEAL, F.lit(profile.ends.parts[1]))).count().collect()
+    assert max(row["count"] for row in parts) <= 2 * 400 / profile.ends.parts[1]
 
 
 def test_positions_are_those_of_the_global_order(lopsided):
@@ -182,3 +209,14 @@ def test_positions_are_those_of_the_global_order(lopsided):
     rows = placed.orderBy("position").collect()
     assert [row.position for row in rows] == list(range(1, 12001))
     assert [(r.k, r.v) for r in rows] == sorted((r.k, r.v) for r in rows)
+
+
+def test_stored_profile_reads_back(spark, tables):
+    spark.sql("CREATE DATABASE edgelens_skew")
+    try:
+        store_skew(spark, PROFILE, "edgelens_skew.profile")
+        assert load_skew(spark, "edgelens_skew.profile") == PROFILE
+        store_skew(spark, SkewProfile(), "edgelens_skew.none")
+        assert load_skew(spark, "edgelens_skew.none") == SkewProfile()
+    finally:
+        spark.sql("DROP DATABASE edgelens_skew CASCADE")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgelens.functions import box_end
+from edgelens.operators.sizes import NODE_TABLES, sent_if_small
 from edgelens.operators.skew import DEAL, HotKeys, lookup
 from edgelens.sources import TableSet
 
@@ -115,6 +116,12 @@ def sv_ends(tables: TableSet, hot_bodies: HotKeys = HotKeys(), where: str = "tru
     return ends if tables.dimension is not None else keyed_once(ends)
 
 
+def looked_up_in(dimension: DataFrame, tables: TableSet, hot: HotKeys, *names: str) -> DataFrame:
+    """``dimension`` as the side of a join that may be broadcast; not where its rows are repeated
+    for the parts of hot keys."""
+    return dimension if hot else sent_if_small(dimension, tables, *(names or NODE_TABLES))
+
+
 def boxes_within_bodies(
     edges: DataFrame,
     tables: TableSet,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import enrich_edges, sv_bodies, sv_ends
+from edgelens.operators.dimensions import enrich_edges, looked_up_in, sv_bodies, sv_ends
 from edgelens.operators.edges import (
     Coordinates,
     edges_inter,
@@ -41,7 +41,8 @@ def inter_body_candidates(
 
     With hot keys, ``edges`` must have been through ``deal_rows``.
     """
-    valid = valid_edges_with_bodies(with_score(edges, score_fn), sv_bodies(tables), hot)
+    bodies = looked_up_in(sv_bodies(tables), tables, hot, "objinfo", "agglo")
+    valid = valid_edges_with_bodies(with_score(edges, score_fn), bodies, hot)
     return edges_inter(valid)
 
 
@@ -55,7 +56,8 @@ def _checked(
     # Few rows are left, but one supervoxel may be the best partner of very many bodies:
     # the rows that end at it are told apart by the body they were ranked for.
     best = best.withColumn(DEAL, F.xxhash64("ranked_body", "rank")) if skew.supervoxels else best
-    enriched = enrich_edges(best, sv_ends(tables, skew.bodies), skew.supervoxels)
+    ends = looked_up_in(sv_ends(tables, skew.bodies), tables, skew.supervoxels)
+    enriched = enrich_edges(best, ends, skew.supervoxels)
     if mask_b_from_a:
         enriched = enriched.withColumn("sv_mask_b", F.col("sv_mask_a"))
     return enriched.where(all_criteria(criteria))
@@ -85,7 +87,9 @@ def best_edges_all_res(
     candidates = inter_body_candidates(tables, edges, ScoreFn.PESSIMISTIC, skew.supervoxels)
     ranks = ["ranked_body", "rank"]
     if with_side_ranks:
-        best = top_n_with_side_ranks(candidates, n, skew.ends)
+        # The join that follows needs this shuffle of the few picked edges, or else broadcasts and
+        # would leave the sampling of the final sort to put all edges in order again.
+        best = top_n_with_side_ranks(candidates, n, skew.ends).repartition("sv_a")
         ranks += ["rank_a", "rank_b"]
     else:
         best = top_n_per_body(candidates.drop(DEAL), n)

@@ -12,6 +12,7 @@ from edgelens.operators.dimensions import (
     SV_BOX,
     boxes_within_bodies,
     enrich_edges,
+    looked_up_in,
     sv_ends,
 )
 from edgelens.operators.edges import (
@@ -113,6 +114,7 @@ def _best_qualifying(
     ends = sv_ends(tables, skew.bodies, eligible_endpoint(criteria))
     boxes_last = criteria.edge_type is EdgeType.INTRA_BODY
     first = ends.drop(*BODY_BOX, *SV_BOX) if boxes_last else ends
+    first = looked_up_in(first, tables, skew.supervoxels)
     kept = enrich_edges(edges, first, skew.supervoxels).where(across_endpoints(criteria))
     best = best_contact_per_pair(kept)
     if boxes_last:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution, ScoreFn
-from edgelens.operators.dimensions import enrich_edges, keyed_once
+from edgelens.operators.dimensions import enrich_edges, keyed_once, looked_up_in
 from edgelens.operators.edges import COORDINATE_FIELDS, Coordinates, flatten_edges, with_score
 from edgelens.operators.ordering import Order, by_ends_and_score, ordered
 from edgelens.operators.pairs import best_contact_of_wanted, once_per_request
@@ -95,7 +95,8 @@ def extract_pairs(
     if hot:
         # Rows of a hot label differ in the other label or the chunk: that deals them out.
         matched = matched.withColumn(DEAL, F.xxhash64("sv_a", "sv_b", "_chunk"))
-    known = enrich_edges(matched, _ends(tables, more_voxels_than), hot)
+    ends = looked_up_in(_ends(tables, more_voxels_than), tables, hot, "objinfo", "mask", "agglo")
+    known = enrich_edges(matched, ends, hot)
     if nested:
         contact = _contact_columns(rsg, all_columns)
     else:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ def pack_documents(
 
     A document is its ids (no special tokens added; null text: empty) and then ``END_ID``. It is
     cut at every multiple of ``capacity``. Full pieces are sequences of their own. The others are
-    dealt to blocks by a hash; in a block, largest differencing makes partial partitions into m
+    dealt to blocks by a hash of the row and place; in a block, largest differencing makes partial partitions into m
     windows of near-equal sums, where m is the least number that could hold them and rises by
     one while a window exceeds the capacity. What a window lacks is padding.
 
@@ -49,14 +51,17 @@ def pack_documents(
     empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    # numbered, so that repeated rows go to different blocks; the table that is written fixes the numbers
+    docs = docs.select(
+        F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text")
+    )
     pieces = scratch.keep(_pieces(docs, tokenizer_path or default_tokenizer(), capacity), "pieces")
     partial = pieces.where(F.col("length") < capacity).agg(F.sum("length")).first()[0] or 0
     blocks = max(1, partial // (capacity * BLOCK_WINDOWS))
-    key = F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.lit(blocks))
+    key = F.pmod(F.xxhash64("row", "start"), F.lit(blocks))
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(c, "ascending") for c in ("id", "start", "length", "ids_crc32", "doc_tokens")])
+        table = table.sort_by([(c, "ascending") for c in ("row", "start")])
         lengths = table.column("length").to_numpy()
         sequence, offset, count = np.empty(len(lengths), np.int64), np.zeros(len(lengths), np.int64), 0
         full = lengths == capacity
@@ -67,12 +72,13 @@ def pack_documents(
         sequence[full] = count + np.arange(int(full.sum()))
         first = table.column("block")[0].as_py() << 32
         return (
-            table.drop_columns(["block"])
+            table.drop_columns(["block", "row"])
             .append_column("sequence_id", pa.array(sequence + first))
             .append_column("offset", pa.array(offset))
         )
 
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    kept = [f for f in pieces.schema.fields if f.name != "row"]
+    schema = T.StructType([*kept, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return pieces.withColumn("block", key).groupBy("block").applyInArrow(pack, schema).withColumnRenamed("id", id_col)
 
 
@@ -80,14 +86,38 @@ def pack_documents(
 
 _SPACES = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else _SPACES[i] for i in range(256))
+_MARKS = bytes(i for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'")
 _ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
+#: How a tokenizer is set up whose chunks may be encoded one by one. It lower-cases,
+#: drops white space and never joins letters with what is no letter.
+_LOWERED = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+
+
+def in_chunks(path: str) -> bool:
+    """Whether texts may be encoded chunk by chunk between white space, A-Z as a-z."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    marks = all(x["special"] and x["content"].startswith("<|") and not x["normalized"] for x in told["added_tokens"])
+    return told["normalizer"] == _LOWERED and steps[:1] == [_SPLIT] and told["post_processor"] is None and marks
+
 
 def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Encodes texts to their ids as little-endian 32-bit numbers.
+    """Encodes texts to their ids, without special tokens added, as little-endian 32-bit numbers.
 
-    The tokenizer lower-cases, drops white space and never joins what it separates, so each
-    chunk between ASCII white space, with A-Z as a-z, is encoded once and remembered.
+    With a tokenizer that is set up for it (``in_chunks``), each chunk between ASCII white space,
+    with A-Z as a-z, is encoded once and remembered; the chunks that a whole batch of texts brings
+    anew are encoded in one call. With any other, texts are encoded as they are.
     """
     if path in _ENCODERS:
         return _ENCODERS[path]
@@ -95,37 +125,54 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {b"": b""}
 
-    def learn(chunks: list[bytes]) -> None:
-        found = tokenizer.encode_batch_fast([x.decode() for x in chunks], add_special_tokens=False)
-        known.update(zip(chunks, (np.array(x.ids, "<u4").tobytes() for x in found), strict=True))
+    def plainly(texts: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    if not in_chunks(path):
+        _ENCODERS[path] = plainly
+        return plainly
+    known: dict[bytes, bytes] = {b"": b""}
 
     def parts(chunk: bytes) -> tuple[bytes, ...]:
-        """A mark after an ASCII letter is encoded apart, as the tokenizer does."""
-        if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalpha():
-            return chunk[:-1], chunk[-1:]
+        """ASCII marks after letters are encoded apart, as the tokenizer does; an apostrophe may
+        begin a suffix and stays."""
+        word = chunk.rstrip(_MARKS)
+        if word and len(word) < len(chunk) and word.decode().isalpha():
+            return word, chunk[len(word) :]
         return (chunk,)
 
+    def learn(missing: set[bytes]) -> None:
+        own = {x: parts(x) for x in missing}
+        new = {y for x in own.values() for y in x if y not in known}
+        # what is only lower-case ASCII letters is one word to the tokenizer, unchanged
+        words = [x for x in new if x.isalpha()]
+        known.update((x, array("I", [y.id for y in tokenizer.model.tokenize(x.decode())]).tobytes()) for x in words)
+        rest = list(new.difference(words))
+        known.update(zip(rest, plainly([x.decode() for x in rest]), strict=True))
+        known.update((x, b"".join([known[y] for y in ys])) for x, ys in own.items() if len(ys) > 1)
+
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > REMEMBER:
             known.clear()
             known[b""] = b""
-        out = []
+        out: list[bytes] = []
+        later: dict[int, list[bytes]] = {}
         for text in texts:
             # a special token is written in lower case; nothing else may become one
             chunks = text.encode().translate(_SPACES if "<|" in text else _LOWER).split(b" ")
             try:
                 out.append(b"".join(map(known.__getitem__, chunks)))
-                continue
             except KeyError:
-                missing = {x: parts(x) for x in set(chunks) if x not in known}
-            learn(list({y for x in missing.values() for y in x if y not in known}))
-            known.update((x, b"".join([known[y] for y in own])) for x, own in missing.items() if len(own) > 1)
-            out.append(b"".join(map(known.__getitem__, chunks)))
-            for x in missing:
-                if len(x) > 64:
-                    del known[x]
+                later[len(out)] = chunks
+                out.append(b"")
+        missing = {x for chunks in later.values() for x in chunks if x not in known}
+        learn(missing)
+        for i, chunks in later.items():
+            out[i] = b"".join(map(known.__getitem__, chunks))
+        for x in missing:
+            if len(x) > 64:
+                known.pop(x, None)
         return out
 
     _ENCODERS[path] = encode
@@ -133,10 +180,10 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
 
 def _pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
-    """Rows (id, start, length, ids_crc32, doc_tokens)."""
+    """Rows (id, row, start, length, ids_crc32, doc_tokens)."""
     schema = T.StructType([
         T.StructField("id", docs.schema["id"].dataType),
-        *(T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "doc_tokens")),
+        *(T.StructField(x, T.LongType()) for x in ("row", "start", "length", "ids_crc32", "doc_tokens")),
     ])
     end = np.array([END_ID], "<u4").tobytes()
 
@@ -144,8 +191,8 @@ def _pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
         encode = encoder(path)
         for batch in batches:
             at, starts, lengths, sums, totals = [], [], [], [], []
-            for i, text in enumerate(batch.column("text")):
-                ids = memoryview(encode([text.as_py() or ""])[0] + end)
+            for i, found in enumerate(encode([x or "" for x in batch.column("text").to_pylist()])):
+                ids = memoryview(found + end)
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
@@ -155,7 +202,7 @@ def _pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
                     sums.append(zlib.crc32(piece))
                     totals.append(total)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(at, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals))], schema.names
+                [*(batch.column(c).take(pa.array(at, pa.int64())) for c in ("id", "row")), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals))], schema.names
             )
 
     return docs.mapInArrow(cut, schema)

@@ -459,6 +459,7 @@ def oracle_sql() -> dict[str, str]:
 
     sql["sort_min_sv_tbars"] = positioned(_BY_MIN_SV_TBARS)
     sql["sort_body_tbars"] = positioned(_BY_BODY_TBARS)
+    sql["export_in_order"] = positioned(_BY_BODY_TBARS)
 
     sql["adhoc_sql"] = _query(
         final="SELECT m.max_mask, count(*) AS n_edges, max(r.score_ab) AS best_score_ab "
@@ -472,6 +473,7 @@ def oracle_sql() -> dict[str, str]:
         f"AS n_rows, row_number() OVER (ORDER BY {_BY_BODY_TBARS}) AS place FROM best) "
         "WHERE place <= 5",
     )
+    sql["export_preview"] = sql["export_summary"]
     sql["export_overwrite"] = _query(*inter, final=_BEST)
     sql["batch_export"] = _query(
         *_edge_query_steps(_INTRA, _INTRA_CRITERIA, "TRUE"),

@@ -31,6 +31,8 @@ from edgelens.plans.edge_query import EDGE_COLUMNS
 from edgelens.sources import TableSet, run_sql
 from edgelens.sources.export import (
     input_identity,
+    preview,
+    read_in_order,
     read_inputs,
     read_provenance,
     read_results,
@@ -206,6 +208,22 @@ def _exported(spark: SparkSession, sf_dir: str, format: str) -> DataFrame:
     return read_results(spark, folder, df)
 
 
+def export_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions in a global order, as the stored files tell them."""
+    df = edge_query(fixture_tables(spark, sf_dir), NM8, order_by=ordering.by_body_tbars())
+    folder = shared_folder(spark)
+    write_results(df, folder, in_order=True)
+    return read_in_order(spark, folder, df)
+
+
+def export_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of an ordered export, from the files that hold them."""
+    df = edge_query(fixture_tables(spark, sf_dir), NM8, order_by=ordering.by_body_tbars())
+    folder = shared_folder(spark)
+    run = write_results(df, folder, in_order=True)
+    return preview(spark, folder, df).withColumn("n_rows", F.lit(run.n_rows).cast("long"))
+
+
 def export_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second of two results written to one folder."""
     tables = fixture_tables(spark, sf_dir)
@@ -275,6 +293,8 @@ def queries() -> dict[str, Query]:
         "export_csv_roundtrip": lambda spark, sf_dir: _exported(spark, sf_dir, "csv"),
         "extract_pairs_all_columns": extract_pairs_all_columns,
         "export_overwrite": export_overwrite,
+        "export_in_order": export_in_order,
+        "export_preview": export_preview,
         "batch_export": batch_export,
         "export_inputs": export_inputs,
         "export_summary": export_summary,

@@ -14,6 +14,12 @@ from edgelens.operators.ranking import best_contact_per_pair
 REQUESTS_PER_ROW = 100_000
 
 
+def both_orientations(pair_list: DataFrame) -> DataFrame:
+    """Each listed pair as it is and reversed."""
+    reverse = pair_list.selectExpr("sv_b AS sv_a", "sv_a AS sv_b")
+    return pair_list.select("sv_a", "sv_b").unionAll(reverse)
+
+
 def wanted_pairs(pair_list: DataFrame) -> DataFrame:
     """The ordered pairs a list asks for, with how often it asks for each.
 
@@ -21,9 +27,7 @@ def wanted_pairs(pair_list: DataFrame) -> DataFrame:
     here keeps a pair that is listed very often from piling up in one task; a count too
     large for one row is spread over several, told apart by ``_chunk``.
     """
-    same = pair_list.select("sv_a", "sv_b")
-    reverse = pair_list.selectExpr("sv_b AS sv_a", "sv_a AS sv_b")
-    counted = same.unionAll(reverse).groupBy("sv_a", "sv_b").agg(F.count("*").alias("n"))
+    counted = both_orientations(pair_list).groupBy("sv_a", "sv_b").agg(F.count("*").alias("n"))
     chunked = drop_self_edges(counted).selectExpr(
         "*", f"explode(sequence(0L, (n - 1L) div {REQUESTS_PER_ROW}L)) AS _chunk"
     )
@@ -43,10 +47,9 @@ def best_contact_of_wanted(
     the list, which sizes the filter; it is counted here if it is not given, which for a stored
     list reads file footers only.
     """
-    wanted = wanted_pairs(pair_list)
     n_listed = pair_list.count() if n_listed is None else n_listed
-    near = may_be_wanted(drop_self_edges(edges), wanted, 2 * n_listed)
-    return best_contact_per_pair(near).join(wanted, ["sv_a", "sv_b"])
+    near = may_be_wanted(drop_self_edges(edges), both_orientations(pair_list), 2 * n_listed)
+    return best_contact_per_pair(near).join(wanted_pairs(pair_list), ["sv_a", "sv_b"])
 
 
 def once_per_request(matched: DataFrame) -> DataFrame:

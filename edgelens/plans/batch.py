@@ -74,6 +74,7 @@ def export_batch(
             overwrite,
             parameters=told,
             inputs=input_identity(tables, [res]),
+            in_order=bool(order_by) and format == "parquet",
         )
         outputs[res] = Output(target, run, done is not None)
     return outputs

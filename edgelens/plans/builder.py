@@ -18,6 +18,7 @@ from edgelens.sources import TableSet
 from edgelens.sources.export import (
     Summary,
     input_identity,
+    preview,
     read_results,
     summarize,
     write_results,
@@ -83,10 +84,20 @@ class EdgeQuery:
         self, spark: SparkSession, folder: str, overwrite: bool = False, format: str = "parquet"
     ) -> Summary:
         """Run the query, write results, provenance and the identity of its inputs as a new run of
-        ``folder``, and sum up what was written."""
+        ``folder``, and sum up what was written. Parquet files keep the order of the query."""
         df = self.query(spark)
-        inputs = input_identity(self.tables(spark))
-        write_results(df, folder, format, overwrite, parameters=self.parameters(), inputs=inputs)
+        kept = bool(self.order_by) and format == "parquet"
+        run = write_results(
+            df,
+            folder,
+            format,
+            overwrite,
+            parameters=self.parameters(),
+            inputs=input_identity(self.tables(spark)),
+            in_order=kept,
+        )
+        if kept:
+            return Summary(run.n_rows, preview(spark, folder, df))
         return summarize(read_results(spark, folder, df), self.order_by)
 
     def batch_and_export(

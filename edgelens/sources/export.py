@@ -25,7 +25,7 @@ from edgelens.operators.ordering import Order, ordered
 from edgelens.sources.tables import TableSet
 
 RUNS, MANIFESTS = "runs", "manifests"
-RESULTS, PROVENANCE, INPUTS = "results", "provenance", "inputs"
+RESULTS, PROVENANCE, INPUTS, RANGES = "results", "provenance", "inputs", "ranges"
 
 
 def plan_text(df: DataFrame) -> str:
@@ -130,6 +130,7 @@ def write_results(
     partition_by: Sequence[str] = (),
     parameters: Mapping[str, Any] | None = None,
     inputs: DataFrame | None = None,
+    in_order: bool = False,
 ) -> Run:
     """Write ``df`` as a new run of the target ``folder``, with a provenance record and the
     identity of the ``inputs`` beside it.
@@ -138,7 +139,13 @@ def write_results(
     becomes the current one by its manifest, after all of it is stored; a query that fails
     leaves the former run in place. The run before is kept for those who still read it, and
     earlier ones are removed. CSV gets a header line in each part file.
+
+    ``in_order`` says that ``df`` has a global order, to be kept: its ranges are stored one per
+    file, in the order of the files' names, and which positions a file holds is recorded. Parquet
+    only, and not with ``partition_by``. See ``read_in_order`` and ``preview``.
     """
+    if in_order and (format != "parquet" or partition_by):
+        raise ValueError("an order is kept in Parquet files without partitions only")
     spark = df.sparkSession
     folder = folder.rstrip("/")
     before = runs(spark, folder)
@@ -160,7 +167,14 @@ def write_results(
         if inputs is not None:
             # One row per table.
             inputs.coalesce(1).write.json(f"{path}/{INPUTS}")
-        n_rows = _reader(spark, df, format).load(f"{path}/{RESULTS}").count()
+        stored = _reader(spark, df, format).load(f"{path}/{RESULTS}")
+        if in_order:
+            ranges = _positions(stored)
+            # A row per file.
+            spark.createDataFrame(ranges, _RANGE).coalesce(1).write.json(f"{path}/{RANGES}")
+            n_rows = sum(n for _, _, n in ranges)
+        else:
+            n_rows = stored.count()
     except Exception:
         _delete(spark, path)
         raise
@@ -173,6 +187,22 @@ def write_results(
     return run
 
 
+_RANGE = "file string, before long, n_rows long"
+
+
+def _positions(stored: DataFrame) -> list[tuple[str, int, int]]:
+    """For each file the rows in files before it and its own, from the files' row counts.
+
+    Spark names the files of a sorted frame by the number of their range.
+    """
+    counted = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
+    found, before = [], 0
+    for file, n in sorted(tuple(row) for row in counted.collect()):
+        found.append((file, before, n))
+        before += n
+    return found
+
+
 def _commit(spark: SparkSession, folder: str, run: Run) -> None:
     """Write the manifest of a run. Its name must be new, so of two writers at once one fails."""
     told = {
@@ -200,6 +230,36 @@ def read_results(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame
     return _reader(spark, like, run.format).load(run.results).select(*like.columns)
 
 
+def read_in_order(
+    spark: SparkSession, folder: str, like: DataFrame, name: str = "position"
+) -> DataFrame:
+    """The current results, written ``in_order``, with the 1-based position of each row: where its
+    file begins, and its place in the file. Nothing is sorted or shuffled."""
+    run = _required(spark, folder)
+    stored = spark.read.schema(like.schema).parquet(run.results)
+    place = F.col("_metadata.row_index")
+    rows = stored.select(*like.columns, F.col("_metadata.file_name").alias("_file"), place.alias("_place"))
+    ranges = spark.read.schema(_RANGE).json(f"{run.path}/{RANGES}").selectExpr("file AS _file", "before")
+    # a row per file
+    placed = rows.join(F.broadcast(ranges), "_file")
+    return placed.select(*like.columns, (F.col("before") + F.col("_place") + 1).alias(name))
+
+
+def preview(spark: SparkSession, folder: str, like: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of the current results, written ``in_order``. Only the files that hold
+    them are read, as a rule the first one."""
+    run = _required(spark, folder)
+    ranges = spark.read.schema(_RANGE).json(f"{run.path}/{RANGES}").where(f"before < {n}").collect()
+    if not ranges:
+        return like.limit(0)
+    files = [f"{run.results}/{row.file}" for row in ranges]
+    stored = spark.read.schema(like.schema).parquet(*files)
+    before = F.create_map(*(F.lit(x) for row in ranges for x in (row.file, row.before)))
+    position = before[F.col("_metadata.file_name")] + F.col("_metadata.row_index")
+    first = stored.select(*like.columns, position.alias("_position")).where(F.col("_position") < n)
+    return first.orderBy("_position").drop("_position")
+
+
 def read_provenance(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.json(f"{_required(spark, folder).path}/{PROVENANCE}")
 
@@ -227,7 +287,8 @@ def summarize(
 ) -> Summary:
     """Row count and first rows of written results; the query itself is not run again.
 
-    Files are not read in the order of their rows, so the first rows need ``order_by``.
+    Files are not read in the order of their rows, so the first rows need ``order_by``; results
+    written ``in_order`` have ``preview`` instead.
     """
     return Summary(written.count(), ordered(written, order_by).limit(n))
 

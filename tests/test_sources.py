@@ -21,6 +21,8 @@ from edgelens import (
     store_skew,
 )
 from edgelens.operators.layout import store_dimension
+from edgelens.operators.ordering import by_body_tbars, ordered
+from edgelens.operators.ranking import with_position
 from edgelens.operators.skew import HotKeys
 from edgelens.operators.storage import shared_folder
 from edgelens.plans import batch
@@ -30,6 +32,8 @@ from edgelens.sources.export import (
     input_digest,
     input_identity,
     plan_text,
+    preview,
+    read_in_order,
     read_inputs,
     read_provenance,
     read_results,
@@ -200,6 +204,48 @@ def test_one_folder_per_resolution(spark, tables, tmp_path):
     assert difference_between(read_results(spark, folder, df), df) is None
 
 
+@pytest.fixture
+def many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_an_order_is_read_back_from_the_files(spark, tables, result, tmp_path, many_ranges):
+    folder = str(tmp_path / "out")
+    df = ordered(result, by_body_tbars())
+    run = write_results(df, folder, in_order=True)
+    assert len([f for f in os.listdir(run.results) if f.endswith(".parquet")]) > 1
+    back = read_in_order(spark, folder, df)
+    assert difference_between(back, with_position(result, by_body_tbars())) is None
+    text = plan_text(back)
+    assert "Sort" not in text and text.count("Exchange") == text.count("BroadcastExchange")
+
+
+def test_a_preview_reads_the_first_file_only(spark, result, tmp_path, many_ranges):
+    folder = str(tmp_path / "out")
+    df = ordered(result, by_body_tbars())
+    write_results(df, folder, in_order=True)
+    first = preview(spark, folder, df)
+    assert len(first.inputFiles()) == 1
+    assert first.collect() == df.limit(5).collect()
+    whole = preview(spark, folder, df, 10_000)
+    assert whole.collect() == df.collect() and len(whole.inputFiles()) > 1
+
+
+def test_an_order_of_nothing(spark, result, tmp_path):
+    folder = str(tmp_path / "out")
+    df = result.where("sv_a < 0").orderBy("sv_a")
+    assert write_results(df, folder, in_order=True).n_rows == 0
+    assert preview(spark, folder, df).collect() == read_in_order(spark, folder, df).collect() == []
+
+
+def test_an_order_is_not_kept_elsewhere(result, tmp_path):
+    for more in ({"format": "csv"}, {"partition_by": ["rownum"]}):
+        with pytest.raises(ValueError, match="order"):
+            write_results(result, str(tmp_path / "out"), in_order=True, **more)
+
+
 INTRA = EdgeCriteria(edge_type="intra-body")
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edgelens.llm.sample import hashed_sample
+
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "markov")
 #: The base patterns and their least lengths.
@@ -80,15 +82,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ma
     """Models from generated random strings and from the ordinary words and identifiers of a
     bounded sample: the ``SAMPLE_DOCS`` documents with the smallest hash of their id, up to
     ``SAMPLE_CHARS`` code points of each, without what the base patterns find."""
-    rows = (
-        docs.where(F.col(text_col).isNotNull())
-        .select(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("turn"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
-        .orderBy("turn", "text").limit(SAMPLE_DOCS).collect()
-    )
     ordinary = []
-    for row in rows:
-        text = list(row.text)
-        for start, _, end in base_spans(row.text):
+    for whole in hashed_sample(docs, id_col, F.substring(text_col, 1, SAMPLE_CHARS), SAMPLE_DOCS):
+        text = list(whole)
+        for start, _, end in base_spans(whole):
             text[start:end] = " " * (end - start)
         ordinary += _WORD.findall("".join(text))
     # identifiers join ordinary words

@@ -242,10 +242,10 @@ split AS (
            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
     FROM texts
 ),
+words AS (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM split),
 windows AS (
-    SELECT r, unnest(range(1, len(ws) - {WINDOW - 2})) AS i,
-           unnest(list_transform(range(1, len(ws) - {WINDOW - 2}), lambda i: array_to_string(ws[i:i + {WINDOW - 1}], ' '))) AS x
-    FROM split
+    SELECT r, i, concat_ws(' ', w, {", ".join(f"lead(w, {j}) OVER o" for j in range(1, WINDOW))}) AS x
+    FROM words WINDOW o AS (PARTITION BY r ORDER BY i) QUALIFY lead(w, {WINDOW - 1}) OVER o IS NOT NULL
 ),
 found AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, x) > 1),
 covered AS (

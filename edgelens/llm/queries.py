@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from edgelens.llm import conversation_repair, exact_dedup, html_extract, lang_id, mixing, quality_rules, secret_scan, spelling, warc
+from edgelens.llm import conversation_repair, exact_dedup, html_extract, lang_id, mixing, pair_sql, quality_rules, secret_scan, spelling, warc
 from edgelens.llm.ngram_join import ngram_jaccard_join
 from edgelens.llm.nn_descent import embedding_near_duplicates
 from edgelens.llm.packing import pack_documents
@@ -89,8 +89,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for those that SQL can express; the tests hold the others against plain Python."""
     return {
+        "op1_ngram_join": pair_sql.NGRAM_JOIN,
         "op2_mixing": mixing.ORACLE_SQL,
         "op7_warc": warc.ORACLE_SQL,
+        "op8_embedding_near_dedup": pair_sql.EMBEDDING_NEAR_DEDUP,
         "op9_exact_dedup": exact_dedup.ORACLE_SQL,
         "op11_quality_rules": quality_rules.ORACLE_SQL,
         "op12_spelling_variants": spelling.ORACLE_SQL,

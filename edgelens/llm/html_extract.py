@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edgelens.llm.sample import hashed_sample
+
 #: Fixed values of HTML: elements that never have content, those whose content is no text, and
 #: those that begin and end a block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style template noscript iframe object svg math textarea select canvas audio video".split())
+FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
@@ -33,6 +36,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 PATH_SIZE, WORD_SIZE, EXTRA, HIDDEN = 64, 32, 6, 24
 #: Pages from which the labeller learns, pages composed from them, and passes over both.
 TRAIN_PAGES, COMPOSED, EPOCHS = 200, 500, 14
+#: Pages with more characters or blocks are not trained on, and of an article so many blocks are
+#: used to compose others; every page is extracted whole.
+TRAIN_CHARS, TRAIN_BLOCKS, TRAIN_PARAGRAPHS = 200_000, 400, 40
 SEED = 29
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<!--|<[!?][^>]*>")
@@ -50,6 +56,23 @@ class Block:
     linked: int
 
 
+def _behind(page: str, name: str, at: int) -> int | None:
+    """Where the content of a ``RAW`` element that starts at ``at`` ends, its end tag included.
+
+    Foreign elements may hold their like. Scripts and styles that are never closed hold the rest
+    of the page; any other is taken for a stray tag (None), as its text would be lost.
+    """
+    depth, last = 1, None
+    for m in re.compile(rf"<(/?){name}(?=[\s/>])([^>]*)>", re.I).finditer(page, at):
+        if m.group(1):
+            depth, last = depth - 1, m.end()
+        elif name in FOREIGN and not m.group(2).endswith("/"):
+            depth += 1
+        if not depth:
+            return last
+    return len(page) if last is None and name in ("script", "style") else last
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order: references decoded, white space made one space, trimmed.
 
@@ -92,6 +115,7 @@ def blocks_of(page: str) -> list[Block]:
             if stack[depth][0] in until:
                 return
 
+    never: set[str] = set()
     while True:
         m = _TAG.search(page, at)
         if m is None:
@@ -115,10 +139,13 @@ def blocks_of(page: str) -> list[Block]:
             close({name})
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-            close_at = page.find(">", end.start()) if end else -1
-            at = close_at + 1 if close_at >= 0 else len(page)
             parts.append(" ")
+            if name in never or (name in FOREIGN and rest.endswith("/")):
+                continue
+            end = _behind(page, name, at)
+            if end is None:  # nor is any later one closed
+                never.add(name)
+            at = at if end is None else end
             continue
         if name == "br":
             parts.append(" ")
@@ -347,19 +374,19 @@ def compose(rng: np.random.Generator, article: list[str], beside: list[str]) ->
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", seed: int = SEED) -> BlockLabeller:
     """Learns from the ``TRAIN_PAGES`` pages with the smallest hash of their id, labelled by their
-    ``article`` and ``main`` elements, and from ``COMPOSED`` pages made of their blocks."""
-    rows = (
-        pages.where(F.length(html_col).between(1, 200_000))
-        .select(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("turn"), F.col(html_col).alias("html"))
-        .orderBy("turn", "html").limit(TRAIN_PAGES).collect()
-    )
+    ``article`` and ``main`` elements, and from ``COMPOSED`` pages made of their blocks.
+
+    Null, empty and very long pages (``TRAIN_CHARS``, ``TRAIN_BLOCKS``) are left out of the
+    sample. Pages of one id count once. From an empty table it learns by composed pages alone."""
+    shown = F.when(F.length(html_col).between(1, TRAIN_CHARS), F.col(html_col))
+    rows = hashed_sample(pages, id_col, shown, TRAIN_PAGES)
     known, articles, beside = [], [], []
     for row in rows:
-        blocks = blocks_of(row.html)
+        blocks = blocks_of(row)
         labels = weak_labels(blocks)
-        if labels is not None and len(blocks) <= 400:
+        if labels is not None and len(blocks) <= TRAIN_BLOCKS:
             known.append((blocks, labels))
-            articles.append([b.text for b, y in zip(blocks, labels, strict=True) if y][:40])
+            articles.append([b.text for b, y in zip(blocks, labels, strict=True) if y][:TRAIN_PARAGRAPHS])
             beside += [b.text for b, y in zip(blocks, labels, strict=True) if not y]
     articles = [x for x in articles if x] or [["One sentence of an article, which is long enough to be read.", "Another one follows it."]]
     beside = beside or ["Home", "About us", "All rights reserved."]

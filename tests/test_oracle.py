@@ -12,7 +12,7 @@ QUERIES = registry.queries()
 ORACLE = oracle.oracle_sql()
 
 # No body of the smallest data is large enough for the batch criteria.
-LARGER = {"edge_query_intra", "intra_all_res", "export_provenance"}
+LARGER = {"edge_query_intra", "intra_all_res", "export_provenance", "batch_export"}
 
 
 def test_every_query_has_an_expected_result():

@@ -53,8 +53,9 @@ def test_query_builder_routes_parameters():
         query.set(scale=2)
     with pytest.raises(ValueError, match="unknown"):
         query.set(tables="x")
-    # 10 table names, the scale, the edge type, 20 thresholds and the order
-    assert len(query.parameters()) == 33
+    # 10 table names, the scale, the edge type, 20 thresholds and the order; the names of the edge
+    # tables by resolution, of a stored dimension and of a skew profile
+    assert len(query.parameters()) == 33 + 5
 
 
 def test_bounds_leave_out_what_is_implied():

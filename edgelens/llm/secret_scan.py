@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -32,7 +33,13 @@ _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}")
 #: A run is a secret if random strings explain it better by so many nats a character.
 LEAST_RATIO = 0.7
 #: Documents from which ordinary identifiers are learnt, code points of each, and random strings.
-SAMPLE_DOCS, SAMPLE_CHARS, RANDOM_STRINGS = 1000, 4000, 4000
+SAMPLE_DOCS, SAMPLE_CHARS, RANDOM_STRINGS, IDENTIFIERS = 1000, 4000, 4000, 8000
+_MODULES = (
+    "argparse", "asyncio", "builtins", "calendar", "codecs", "collections", "configparser", "datetime", "decimal", "email.message", "errno", "html.entities",
+    "http", "http.client", "inspect", "io", "ipaddress", "json", "locale", "logging", "mimetypes", "os", "pathlib", "platform", "pydoc", "shutil", "signal",
+    "socket", "sqlite3", "ssl", "stat", "statistics", "string", "subprocess", "tarfile", "threading", "token", "typing", "unicodedata", "unittest",
+    "urllib.parse", "urllib.request", "xml.dom.minidom", "zipfile",
+)
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
 
 
@@ -78,20 +85,69 @@ def random_strings(count: int = RANDOM_STRINGS, seed: int = 11) -> list[str]:
     return ["".join(rng.choice(list(alphabets[i % len(alphabets)]), int(rng.integers(20, 64)))) for i in range(count)]
 
 
+def library_words() -> list[str]:
+    """The words in the names that modules of Python's library hold."""
+    names = (name for module in _MODULES for name in dir(importlib.import_module(module)))
+    found = {x.lower() for name in names for x in re.findall(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}", name)}
+    return sorted(found)
+
+
+def ordinary_identifiers(words: list[str], count: int = IDENTIFIERS, seed: int = 12) -> list[str]:
+    """Labelled samples of ordinary identifiers, as programs, paths, links and logs write them:
+    words, joined, with counters, versions, dates, and the numbers that machines
+    append; half of the words are those of Python's own library, whose names are real ones."""
+    rng = np.random.default_rng(seed)
+    library = library_words()
+    # as many of either origin
+    plain = [x.lower() for x in words if x.isalpha()][: len(library)] + library
+
+    def number(digits: int) -> str:
+        return str(rng.integers(10 ** int(rng.integers(1, digits + 1))))
+
+    def hexadecimal(n: int) -> str:
+        return "".join(rng.choice(list("0123456789abcdef"), n))
+
+    def word() -> str:
+        return plain[int(rng.integers(len(plain)))]
+
+    def some(join: str, least: int = 2) -> str:
+        return join.join(word() for _ in range(int(rng.integers(least, 6))))
+
+    def camel() -> str:
+        return "".join(word().capitalize() for _ in range(int(rng.integers(2, 6))))
+
+    def day(join: str = "-") -> str:
+        return join.join((str(rng.integers(1990, 2040)), f"{rng.integers(1, 13):02d}", f"{rng.integers(1, 32):02d}"))
+
+    def clock(join: str = "-") -> str:
+        return join.join(f"{rng.integers(x):02d}" for x in (24, 60, 60))
+
+    forms = (
+        lambda: some("_") + number(4), lambda: some("-") + "-" + number(4), lambda: camel() + number(4),
+        lambda: camel()[:1].lower() + camel() + number(2), lambda: some("/", 3) + number(3) + "/" + some("_", 1),
+        lambda: some("/", 2) + "/" + some("-", 1) + "-" + number(2) + "/" + number(3),
+        lambda: word() + "_" + word() + "=" + some("_", 1) + str(rng.integers(1990, 2040)) + "_" + word(),
+        lambda: word() + "=" + number(5) + "-" + word() + "=" + some("-"), lambda: some("_", 1) + "_" + day() + "T" + clock(),
+        lambda: day("") + "_" + clock("") + "_" + some("-", 1), lambda: day() + "/" + some("_"),
+        lambda: "-".join(hexadecimal(n) for n in (8, 4, 4, 4, 12)), lambda: some("-") + "-" + hexadecimal(10) + "-" + hexadecimal(5),
+        lambda: some("_").upper() + "_" + number(4), lambda: some("-", 1) + "-v" + number(2) + "-" + number(2) + "-" + number(3),
+        lambda: word()[:3].upper() + "-" + number(8) + "-" + number(8), lambda: some("--", 2) + number(2),
+    )
+    return [forms[i % len(forms)]() for i in range(count)]
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> MarkovModels:
     """Models from generated random strings and from the ordinary words and identifiers of a
     bounded sample: the ``SAMPLE_DOCS`` documents with the smallest hash of their id, up to
-    ``SAMPLE_CHARS`` code points of each, without what the base patterns find."""
+    ``SAMPLE_CHARS`` code points of each, without what the base patterns find. Null texts are left
+    out, rows of one id count once; an empty table leaves the labelled identifiers alone."""
     ordinary = []
     for whole in hashed_sample(docs, id_col, F.substring(text_col, 1, SAMPLE_CHARS), SAMPLE_DOCS):
         text = list(whole)
         for start, _, end in base_spans(whole):
             text[start:end] = " " * (end - start)
         ordinary += _WORD.findall("".join(text))
-    # identifiers join ordinary words
-    ordinary += ["_".join(ordinary[i : i + 3]) for i in range(0, len(ordinary), 3)]
-    ordinary += ["".join(x.capitalize() for x in ordinary[i : i + 3]) for i in range(0, len(ordinary), 7)]
-    return MarkovModels(random_strings(), ordinary)
+    return MarkovModels(random_strings(), ordinary + ordinary_identifiers(ordinary))
 
 
 def added_spans(text: str, models: MarkovModels, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

@@ -26,6 +26,8 @@ BLOCK_WINDOWS = 128
 BUNDLE = 64
 #: Distinct chunks of text whose ids a worker remembers; beyond it starts afresh.
 REMEMBER = 1_000_000
+#: Texts encoded together.
+TOGETHER = 128
 
 
 def default_tokenizer() -> str:
@@ -179,6 +181,12 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     return encode
 
 
+def _encoded(texts: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> Iterator[bytes]:
+    """The ids of each text, a few texts at a time: their chunks are held together."""
+    for at in range(0, len(texts), TOGETHER):
+        yield from encode([x or "" for x in texts.slice(at, TOGETHER).to_pylist()])
+
+
 def _pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
     """Rows (id, row, start, length, ids_crc32, doc_tokens)."""
     schema = T.StructType([
@@ -191,7 +199,7 @@ def _pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
         encode = encoder(path)
         for batch in batches:
             at, starts, lengths, sums, totals = [], [], [], [], []
-            for i, found in enumerate(encode([x or "" for x in batch.column("text").to_pylist()])):
+            for i, found in enumerate(_encoded(batch.column("text"), encode)):
                 ids = memoryview(found + end)
                 total = len(ids) // 4
                 for start in range(0, total, capacity):

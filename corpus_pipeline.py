@@ -1,13 +1,15 @@
 """A corpus pipeline: language ID, exact and near deduplication, mixing and packing.
 
-Every stage takes whole tables and returns the columns of ``documents``; the last returns the
-pieces of the packed sequences. Each result is written to the shared folder and read again.
+Every stage takes whole tables and returns the columns of ``documents``, whatever others there
+are, with their values; the last returns the pieces of the packed sequences. Each result is
+written to the shared folder and read again. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgelens.llm import lang_id
@@ -19,29 +21,35 @@ from edgelens.llm.scratch import Scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those whose language is in doubt."""
-    found = lang_id.identify_languages(docs, lang_id.train(docs))
-    return found.where("NOT rejected").select(docs.columns)
+    """Drops documents without letters (null and empty texts too) and those whose language is in
+    doubt. Repeated rows are judged alike."""
+    renamed, restored = _guarded(docs)
+    found = lang_id.identify_languages(renamed, lang_id.train(renamed))
+    return restored(found.where("NOT rejected"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of equal texts the longest as written, then the one with the smallest id."""
+    """Keeps of equal texts the longest as written, then the one with the smallest id, a null id
+    last, then the first row. Null texts are equal to empty ones."""
     docs, keyed = _keyed(spark, docs)
     kept = exact_dedup(keyed, id_col="_key").where("kept")
-    return _rows(docs, kept.select("_key"))
+    return _rows(docs, kept)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of linked documents the one with the smallest id."""
+    """Keeps of each group of linked documents the one with the smallest id, a null id last; null
+    and empty texts are linked with nothing and stay."""
     docs, keyed = _keyed(spark, docs)
     kept = ngram_jaccard_join(keyed, id_col="_key").where("_key = component_id")
-    return _rows(docs, kept.select("_key"))
+    return _rows(docs, kept)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats each document as often as the mix takes it; those it does not take go."""
-    taken = mix_sources(docs).where("copies > 0")
-    return taken.withColumn("copies", F.explode(F.expr("sequence(1L, copies)"))).select(docs.columns)
+    """Repeats each document as often as the mix takes it; those it does not take go. Null
+    sources are one source, empty documents stay as often as their source is taken whole."""
+    docs, keyed = _keyed(spark, docs, "doc_id", "source")
+    taken = mix_sources(keyed).where("copies > 0").select("_key", "copies")
+    return _rows(docs, taken, F.col("copies"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,21 +78,41 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-def _keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``docs``, and (_key, text) of its rows. A key orders by id, null last, and tells
-    repeated rows apart by their place in the files; rows of no files are written first."""
-    row = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
-    try:
-        docs.select(row)
-    except AnalysisException:
-        docs = Scratch(spark, "rows").keep(docs, "documents")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), row.alias("row"))
-    return docs, docs.select(key.alias("_key"), "text")
+#: Columns of documents that the stages read.
+_READ = ("doc_id", "text", "lang", "source")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with these keys."""
+def _guarded(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns that no stage reads renamed, so that none has the name of one
+    that an operator adds, and how to name them again."""
+    inner = [c if c in _READ else f"_column{i}" for i, c in enumerate(docs.columns)]
     names = docs.columns
-    marked = docs.select(*names, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    keys = keys.select(F.col("_key.row.file").alias("_file"), F.col("_key.row.at").alias("_at"))
-    return marked.join(keys, ["_file", "_at"], "left_semi").select(names)
+    return docs.toDF(*inner), lambda df: df.select(*(F.col(a).alias(b) for a, b in zip(inner, names, strict=True)))
+
+
+def _keyed(spark: SparkSession, docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """``docs``, and (_key, text) of its rows. A key orders by id, null last, and tells
+    repeated rows apart by their place in the files. Frames that are more than a scan of files
+    are written first, as rows made after a scan share their places."""
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = Scratch(spark, "rows").keep(docs, "documents")
+    row = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), row.alias("row"))
+    return docs, docs.select(key.alias("_key"), "text", *more)
+
+
+def _rows(docs: DataFrame, keys: DataFrame, copies: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` with these keys, each as many times as ``copies`` says."""
+    inner = [f"_column{i}" for i in range(len(docs.columns))]
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    marked = docs.select(*(F.col(_quoted(c)).alias(i) for c, i in zip(docs.columns, inner, strict=True)), *place)
+    times = F.lit(1) if copies is None else copies
+    keys = keys.select(F.col("_key.row.file").alias("_file"), F.col("_key.row.at").alias("_at"), times.cast("long").alias("_times"))
+    found = marked.join(keys, ["_file", "_at"])
+    if copies is not None:
+        found = found.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return found.select(*(F.col(i).alias(c) for c, i in zip(docs.columns, inner, strict=True)))

@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 #: below the lowest piece.
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Below every score: no path has reached a position yet.
+NONE = float("-inf")
 #: Distinct chunks whose counts a worker remembers; beyond it starts afresh.
 REMEMBER = 400_000
 _CHUNK = re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -67,46 +69,67 @@ class UnigramCounter:
 
     def chunk(self, text: str) -> tuple[int, float]:
         """Number of tokens and score of the best path through a chunk."""
-        ending: list[list[tuple[int, float]]] = [[] for _ in text]
-        for end, match in self.automaton.iter(text):
-            ending[end].append(match)
-        # at each position: score, tokens, and for a path that ends in unknown characters where
-        # they start and the tokens before
-        best = [(0.0, 0, -1, 0)]
-        for end, matches in enumerate(ending):
-            top, single = None, False
-            for length, score in sorted(matches, reverse=True):
-                start = end + 1 - length
-                single |= length == 1
-                total = best[start][0] + score
-                if top is None or total > top[0]:
-                    top = (total, best[start][1] + 1, -1, 0)
-            total = best[end][0] + self.unknown
-            if not single and (top is None or total > top[0]):
-                _, count, run, before = best[end]
-                run, before = (run, before) if run >= 0 else (end, count)
-                unknown = text[run : end + 1]
-                top = (total, before + (1 if unknown in self.pieces else len(unknown.encode())), run, before)
-            best.append(top)
-        return best[-1][1], best[-1][0]
+        # at each position that is settled: score and tokens, and for a path that ends in unknown
+        # characters where they start and the tokens before
+        scores, counts, runs = [0.0], [0], {}
+        settled, top, tokens = 0, NONE, 0
+        # the automaton tells the pieces that end at a character longest first, so that a
+        # one-character piece is the last of them and settles the position
+        for end, (length, score) in self.automaton.iter(text):
+            while settled < end:
+                self._settle(text, scores, counts, runs, top, tokens)
+                settled, top = settled + 1, NONE
+            total = scores[-length] + score
+            if total > top:
+                top, tokens = total, counts[-length] + 1
+            if length == 1:
+                scores.append(top)
+                counts.append(tokens)
+                settled, top = end + 1, NONE
+        while settled < len(text):
+            self._settle(text, scores, counts, runs, top, tokens)
+            settled, top = settled + 1, NONE
+        return counts[-1], scores[-1]
+
+    def _settle(
+        self, text: str, scores: list[float], counts: list[int], runs: dict[int, tuple[int, int]], top: float, tokens: int
+    ) -> None:
+        """Settles a position where no one-character piece ends: the character before it may be
+        unknown."""
+        end = len(scores) - 1
+        total = scores[-1] + self.unknown
+        if total > top:
+            run, before = runs[end + 1] = runs.get(end, (end, counts[-1]))
+            unknown = text[run : end + 1]
+            top, tokens = total, before + (1 if unknown in self.pieces else len(unknown.encode()))
+        scores.append(top)
+        counts.append(tokens)
 
     def __call__(self, text: str) -> tuple[int, float]:
         """Number of tokens and score of a text; none for an empty one."""
         if not text:
             return 0, 0.0
         count, score = 0, 0.0
-        for chunk in _CHUNK.findall(SPACE + text.replace(" ", SPACE)):
-            found = self.known.get(chunk)
-            if found is None:
-                found = self.chunk(chunk)
-                if len(self.known) >= REMEMBER:
-                    self.known.clear()
-                if len(chunk) <= 64:
-                    self.known[chunk] = found
-            count += found[0]
-            score += found[1]
+        chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
+        all_found = list(map(self.known.get, chunks))
+        if None in all_found:
+            all_found = map(self.counted, chunks)
+        for tokens, found in all_found:
+            count += tokens
+            score += found
         return count, score
 
+    def counted(self, chunk: str) -> tuple[int, float]:
+        """As ``chunk``, remembered."""
+        found = self.known.get(chunk)
+        if found is None:
+            found = self.chunk(chunk)
+            if len(self.known) >= REMEMBER:
+                self.known.clear()
+            if len(chunk) <= 64:
+                self.known[chunk] = found
+        return found
+
 
 _COUNTERS: dict[str, UnigramCounter] = {}
 
@@ -127,7 +150,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             _COUNTERS[path] = UnigramCounter(vocabulary(path))
         counter = _COUNTERS[path]
         for batch in batches:
-            found = [counter(x.as_py() or "") for x in batch.column("text")]
+            found = [counter(x or "") for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.float64())], schema.names
             )

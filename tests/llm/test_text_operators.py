@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -224,6 +225,47 @@ def test_token_count_ties_go_to_the_earliest_start():
     assert UnigramCounter(pieces)("ab") == (2, -3.0)
 
 
+def test_token_counts_without_one_character_pieces():
+    """Counts and scores by trying every piece at every place; unknown characters may hold the
+    characters of longer pieces."""
+
+    def plainly(pieces, text):
+        scores, unknown = dict(reversed(pieces)), min(x for _, x in pieces) - 10.0
+        best = [(0.0, 0, -1, 0)]
+        for end in range(1, len(text) + 1):
+            paths = [(best[i][0] + scores[text[i:end]], best[i][1] + 1, -1, 0) for i in range(end) if text[i:end] in scores]
+            top = max(paths, key=lambda x: x[0], default=None)
+            total, count, run, before = best[end - 1]
+            if text[end - 1] not in scores and (top is None or total + unknown > top[0]):
+                run, before = (run, before) if run >= 0 else (end - 1, count)
+                row = text[run:end]
+                top = (total + unknown, before + (1 if row in scores else len(row.encode())), run, before)
+            best.append(top)
+        return best[-1][1], best[-1][0]
+
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        names = {"".join(rng.choice([*"abcé"], rng.integers(1, 5))) for _ in range(8)}
+        pieces = [("\x00", 0.0), *((x, -float(rng.choice([0.25, 1, 1.5, 2, 3, 30]))) for x in sorted(names))]
+        counter = UnigramCounter(pieces)
+        for _ in range(10):
+            text = "".join(rng.choice([*"abcéd"], rng.integers(1, 20)))
+            assert counter.chunk(text) == plainly(pieces, text)
+
+
+def test_token_counts_take_a_fixed_number_of_steps_per_character():
+    """Each character is settled once, with two appended numbers; the pieces that end there are
+    neither gathered nor sorted."""
+    counter, calls = UnigramCounter(vocabulary(default_model())), []
+    word = "\u2581" + "internationalisations" * 10
+    sys.setprofile(lambda frame, event, told: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        counter.chunk(word)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) <= 2 * len(word) + 10
+
+
 def test_secrets_against_plain_patterns(docs, texts, odd):
     models = secret_scan.train(docs)
     rows = secret_scan.span_digest(secret_scan.scan_secrets(docs, models)).collect()

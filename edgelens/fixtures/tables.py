@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgelens.functions import Resolution
+from edgelens.operators.sizes import by_shuffle
 from edgelens.sources import TableSet
 
 # Line numbers that make up the edge table of each resolution.
@@ -75,7 +76,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> TableSet:
     sv_tbars = part.where(sv % 13 != 12).select("sv", (n % 20).alias("tbar_count"))
 
     def with_body(df: DataFrame) -> DataFrame:
-        mapped = df.join(agglo, df.sv == agglo.id_a, "left")
+        mapped = df.join(by_shuffle(agglo), df.sv == agglo.id_a, "left")
         return mapped.withColumn("body", F.coalesce("id_b", "sv"))
 
     starts = {axis: F.col(f"bbox.start.{axis}") for axis in ("x", "y", "z")}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgelens.functions import box_end
-from edgelens.operators.sizes import NODE_TABLES, sent_if_small
+from edgelens.operators.sizes import NODE_TABLES, by_shuffle, sent_if_small
 from edgelens.operators.skew import DEAL, HotKeys, lookup
 from edgelens.sources import TableSet
 
@@ -62,7 +62,7 @@ def sv_bodies(tables: TableSet) -> DataFrame:
     if tables.dimension is not None:
         return tables.dimension.select("sv", "body")
     mapped = tables.agglo.selectExpr("id_a AS id", "id_b")
-    bodies = tables.objinfo.select("id").join(mapped, "id", "left")
+    bodies = tables.objinfo.select("id").join(by_shuffle(mapped), "id", "left")
     return keyed_once(bodies.selectExpr("id AS sv", "coalesce(id_b, id) AS body"))
 
 
@@ -79,7 +79,7 @@ def body_dimension(tables: TableSet) -> DataFrame:
     tbars = tables.body_tbars.selectExpr("body", "tbar_count AS body_tbars")
     # The exclusion set is kept per supervoxel, so a body may be listed many times.
     separate = tables.separate.distinct().selectExpr("body", "true AS listed")
-    known = sizes.join(tbars, "body", "full").join(separate, "body", "full")
+    known = sizes.join(by_shuffle(tbars), "body", "full").join(by_shuffle(separate), "body", "full")
     return known.selectExpr(
         "body", "body_size", *BODY_BOX, "body_tbars", "listed IS NOT NULL AS is_separate"
     )
@@ -96,16 +96,16 @@ def sv_dimension(tables: TableSet, hot_bodies: HotKeys = HotKeys()) -> DataFrame
     # All on the supervoxel: one shuffle per table, none between the joins.
     supervoxels = (
         sv_boxes(tables.objinfo)
-        .join(mask, "sv", "left")
-        .join(tbars, "sv", "left")
-        .join(mapped, "sv", "left")
-        .join(isolated, "sv", "left")
+        .join(by_shuffle(mask), "sv", "left")
+        .join(by_shuffle(tbars), "sv", "left")
+        .join(by_shuffle(mapped), "sv", "left")
+        .join(by_shuffle(isolated), "sv", "left")
         .selectExpr("*", "coalesce(id_b, sv) AS body", "listed IS NOT NULL AS is_isolated")
     )
     if hot_bodies:  # each supervoxel is there once: its hash deals a hot body's rows out
         supervoxels = supervoxels.withColumn(DEAL, F.xxhash64("sv"))
     bodies = body_dimension(tables).withColumnRenamed("body", "_key")
-    joined = lookup(supervoxels, bodies, "body", hot_bodies, "left")
+    joined = lookup(supervoxels, by_shuffle(bodies), "body", hot_bodies, "left")
     separate = "coalesce(is_separate, false) AS is_separate"
     return joined.selectExpr("sv", "body", *ATTRIBUTES, "is_isolated", separate)
 
@@ -135,11 +135,11 @@ def boxes_within_bodies(
     """
     if tables.dimension is not None:
         return enrich_edges(edges, tables.dimension.select("sv", *SV_BOX, *BODY_BOX), hot)
-    edges = enrich_edges(edges, sv_boxes(tables.objinfo).select("sv", *SV_BOX), hot)
+    edges = enrich_edges(edges, by_shuffle(sv_boxes(tables.objinfo).select("sv", *SV_BOX)), hot)
     if hot_bodies:
         edges = edges.withColumn(DEAL, F.xxhash64("sv_a", "sv_b"))
     bodies = body_boxes(tables.body_sizes).drop("body_size").withColumnRenamed("body", "_key")
-    found = lookup(edges, bodies, "body_a", hot_bodies)
+    found = lookup(edges, by_shuffle(bodies), "body_a", hot_bodies)
     both = (F.col(name).alias(f"{name}_{side}") for side in ("a", "b") for name in BODY_BOX)
     return found.select(*edges.columns, *both)
 

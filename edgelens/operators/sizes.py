@@ -4,7 +4,7 @@ Spark multiplies sizes over joins, so it takes even a tiny supervoxel dimension
 where the edges are few, it would then broadcast those. The check here is Spark's own, against the
 session's threshold, on the stored tables that a dimension is made of. A dimension has a row per
 supervoxel and less columns than those tables together, so it is no larger. Beyond the threshold
-there is no hint, and the joins shuffle.
+there is no such hint, and the joins shuffle. What a dimension is made of is never broadcast.
 """
 
 from __future__ import annotations
@@ -40,6 +40,15 @@ def fits_broadcast(tables: TableSet, *names: str) -> bool:
     return sum(size_in_bytes(getattr(tables, name)) for name in names) <= threshold
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is sorted on both sides and never broadcast.
+
+    Spark goes by the size of the stored files, a few bytes a row. In memory a node table is many
+    times that, and a query joins a dozen of them, all of which would pass through the driver.
+    """
+    return df.hint("merge")
+
+
 def sent_if_small(dimension: DataFrame, tables: TableSet, *names: str) -> DataFrame:
     """``dimension``, made of these tables, with a hint to broadcast it if they are small."""
     return F.broadcast(dimension) if fits_broadcast(tables, *names) else dimension

@@ -16,6 +16,7 @@ from edgelens import (
     extract_pairs,
 )
 from edgelens.functions import ScoreFn
+from edgelens.operators.dimensions import sv_bodies, sv_dimension
 from edgelens.operators.filters import exclude_isolated
 from edgelens.operators.edges import flatten_edges, with_score
 from edgelens.operators.pairs import best_contact_of_wanted
@@ -176,3 +177,12 @@ def flatten_scored(tables):
 def test_isolation_is_an_anti_join(tables, shuffled):
     text = plan_text(exclude_isolated(flatten_edges(tables.rsg[8], 8), tables.isolated))
     assert text.count("Join type: LeftAnti") == 2
+
+
+def test_node_tables_do_not_pass_through_the_driver(tables):
+    """Small files or not: only a whole dimension is broadcast, and only if all of it is small."""
+    for df in (sv_dimension(tables), sv_bodies(tables)):
+        assert "BroadcastExchange" not in operators(df)
+    criteria = EdgeCriteria(edge_type=EdgeType.INTRA_BODY)
+    sent = [x for x in operators(edge_query(tables, 8, criteria)) if x == "BroadcastExchange"]
+    assert len(sent) <= 2

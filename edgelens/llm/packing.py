@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -137,10 +138,10 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     known: dict[bytes, bytes] = {b"": b""}
 
     def parts(chunk: bytes) -> tuple[bytes, ...]:
-        """ASCII marks after letters are encoded apart, as the tokenizer does; an apostrophe may
-        begin a suffix and stays."""
+        """ASCII marks after letters are encoded apart, as the tokenizer does, which normalises
+        first; an apostrophe may begin a suffix and stays."""
         word = chunk.rstrip(_MARKS)
-        if word and len(word) < len(chunk) and word.decode().isalpha():
+        if word and len(word) < len(chunk) and unicodedata.normalize("NFC", word.decode()).lower().isalpha():
             return word, chunk[len(word) :]
         return (chunk,)
 
@@ -148,7 +149,7 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         own = {x: parts(x) for x in missing}
         new = {y for x in own.values() for y in x if y not in known}
         # what is only lower-case ASCII letters is one word to the tokenizer, unchanged
-        words = [x for x in new if x.isalpha()]
+        words = [x for x in new if x.isalpha() and x.islower()]
         known.update((x, array("I", [y.id for y in tokenizer.model.tokenize(x.decode())]).tobytes()) for x in words)
         rest = list(new.difference(words))
         known.update(zip(rest, plainly([x.decode() for x in rest]), strict=True))

@@ -16,6 +16,8 @@ from edgelens.llm.scratch import Scratch
 
 #: Fixed values of the base rules.
 WORD = r"[^\x20\x09-\x0D]+"
+#: What lies between two words, one by one, which Java looks up in a table.
+GAP = r"[ \t\n\x0B\f\r]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 #: What a character of a word counts as: the first class that it fits; none is ``other``.
@@ -36,6 +38,11 @@ def _named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def _words(text: Column) -> Column:
+    """The words of a text, in order; text before the first and after the last gap may be empty."""
+    return F.array_remove(F.split(text, GAP), "")
+
+
 def _with_classes(df: DataFrame, characters: Column) -> DataFrame:
     """Adds ``c_<class>``, the characters of each class; each step reads what the last one left."""
     df = df.withColumn("_left", characters)
@@ -72,7 +79,7 @@ def language_references(
     scratch = scratch or Scratch(docs.sparkSession, "quality")
     words = docs.select(
         _named(lang_col).cast("string").alias("lang"),
-        F.explode(F.regexp_extract_all(_named(text_col), F.lit(f"({WORD})"))).alias("word"),
+        F.explode(_words(_named(text_col))).alias("word"),
     )
     counts = scratch.keep(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
 
@@ -116,15 +123,16 @@ def language_references(
 def base_counts(docs: DataFrame, text: Column) -> DataFrame:
     """Adds the counts of the base rules, ``base_failed`` and ``_words`` to ``docs``.
 
-    Windows of words are compared by 64-bit hashes: a document of n words is miscounted with a
-    chance of n**2 / 2**65. Only a text with a repeated window sorts them.
+    Windows of words are compared by 64-bit hashes, made of the words' hashes in three steps: a
+    document of n words is miscounted with a chance of n**2 / 2**63 at most. Only a text with a
+    repeated window sorts them.
     """
     n = F.size("_words")
     docs = docs.withColumn("_text", F.coalesce(text, F.lit("")))
-    docs = docs.withColumn("_words", F.regexp_extract_all("_text", F.lit(f"({WORD})")))
+    docs = docs.withColumn("_words", _words(F.col("_text")))
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(WORD))
     docs = docs.withColumn("_lines", lines)
-    docs = docs.withColumn("_chars", F.regexp_replace("_text", r"[\x20\x09-\x0D]+", ""))
+    docs = docs.withColumn("_chars", F.array_join("_words", ""))
     docs = docs.select(
         *docs.columns,
         n.cast("long").alias("n_words"),
@@ -132,9 +140,13 @@ def base_counts(docs: DataFrame, text: Column) -> DataFrame:
         (F.char_length("_chars") - F.char_length(F.regexp_replace("_chars", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
     )
-    window = ", ".join(f"get(_words, i + {j})" for j in range(WINDOW))
-    hashes = f"if(size(_words) < {WINDOW}, array(), transform(sequence(0, size(_words) - {WINDOW}), i -> xxhash64({window})))"
-    docs = docs.withColumn("_windows", F.expr(hashes))
+    # windows of 1, 2, 4 and then all words; those that reach beyond the last word are cut off
+    joined = "zip_with({}, slice({}, {}, size(_words)), (a, b) -> xxhash64(a, b))"
+    docs = docs.withColumn("_one", F.expr("transform(_words, w -> xxhash64(w))"))
+    docs = docs.withColumn("_two", F.expr(joined.format("_one", "_one", 2)))
+    docs = docs.withColumn("_four", F.expr(joined.format("_two", "_two", 3)))
+    whole = f"greatest(size(_words) - {WINDOW - 1}, 0)"
+    docs = docs.withColumn("_windows", F.expr(f"slice({joined.format('_four', '_one', WINDOW)}, 1, {whole})"))
     # the repeated windows side by side, each with its place
     placed = "sort_array(transform(_windows, (h, i) -> struct(h AS h, i AS i)))"
     none = "CAST(array() AS array<struct<h: bigint, i: int>>)"
@@ -148,7 +160,9 @@ def base_counts(docs: DataFrame, text: Column) -> DataFrame:
         f"aggregate({places}, struct(0L AS n, 0 AS upto), "
         f"(a, i) -> struct(a.n + (i + {WINDOW} - greatest(a.upto, i)) AS n, i + {WINDOW} AS upto), a -> a.n)"
     )
-    docs = docs.withColumn("n_repeat_words", F.expr(covered)).drop("_text", "_lines", "_windows", "_sorted")
+    docs = docs.withColumn("n_repeat_words", F.expr(covered)).drop(
+        "_text", "_lines", "_one", "_two", "_four", "_windows", "_sorted"
+    )
     failed = f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words"
     return docs.withColumn("base_failed", F.expr(failed))
 
@@ -175,6 +189,8 @@ def quality_rules(
     references = language_references(docs, text_col, lang_col) if references is None else references
     references = Scratch(docs.sparkSession, "quality").keep(references, "references")
     pooled = references.where("pooled").first()  # at most one row
+    # at most COMMON_WORDS for each reference
+    any_common = [r[0] for r in references.select(F.explode("words")).distinct().collect()]
     own = references.where("NOT pooled").drop("pooled").withColumnRenamed("lang", "_lang")
 
     rows = docs.select(
@@ -194,11 +210,21 @@ def quality_rules(
         }
     )
     class_parts = (_divergence(F.col(f"c_{x}") / F.col("word_chars"), F.col(f"q_{x}")) for x in BINS)
+    # one look-up tells most words from the common ones; those are then taken away word by word
     lower = F.transform("_words", F.lower)
-    rows = rows.withColumn("_common", F.filter(lower, lambda w: F.array_contains("words", w)))
-    found = F.transform("words", lambda w: F.size("_common") - F.size(F.array_remove("_common", w)))
-    found = F.concat(found, F.array(F.col("n_words").cast("int") - F.size("_common")))
-    rows = rows.withColumn("_found", found)
+    rows = rows.withColumn("_common", F.filter(lower, lambda w: w.isin(any_common)))
+    left = F.aggregate(
+        "words",
+        F.struct(F.col("_common").alias("rest"), F.array().cast("array<int>").alias("sizes")),
+        lambda a, w: F.struct(
+            F.array_remove(a["rest"], w).alias("rest"), F.concat(a["sizes"], F.array(F.size(a["rest"]))).alias("sizes")
+        ),
+        lambda a: F.concat(a["sizes"], F.array(F.size(a["rest"]))),
+    )
+    rows = rows.withColumn("_left", left)
+    found = F.transform("words", lambda w, i: F.get("_left", i) - F.get("_left", i + 1))
+    others = F.col("n_words").cast("int") - F.get("_left", F.lit(0)) + F.element_at("_left", -1)
+    rows = rows.withColumn("_found", F.concat(found, F.array(others)))
     word_parts = F.zip_with("_found", "word_p", lambda n, q: _divergence(n / F.col("n_words"), q))
     judged = ~F.col("base_failed")
     rows = rows.select(

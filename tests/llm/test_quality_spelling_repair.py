@@ -114,6 +114,36 @@ def test_quality_of_an_empty_table(spark):
     assert [(r.n_words, r.kept) for r in wordless] == [(0, False)] * 2
 
 
+def test_words_are_hashed_once_and_common_ones_looked_up(spark, prose):
+    """No step goes through all common words, or through five strings, for each word of a text."""
+    judged = quality_rules(documents(spark, [(i, prose(200), "en") for i in range(40)]))
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert " INSET " in plan and "array_contains" not in plan
+    assert plan.count("xxhash64(") == 4 and "regexp_extract_all" not in plan
+
+
+def test_common_words_are_counted_in_any_case(spark, prose):
+    """The divergence by plain counting, with words that share parts and words of other languages."""
+    rows = [(i, prose(150).title() + " THE theth \u0130S \u039f\u03a3 der", "en") for i in range(30)]
+    rows += [(100 + i, "der die das und " * 2 + prose(80).replace("the", "der"), "de") for i in range(30)]
+    docs = documents(spark, rows)
+    references = {r.lang: r for r in language_references(docs).collect()}
+    assert set(references) == {"en", "de", None}
+
+    def part(p, q):
+        return sum(x * np.log2(2 * x / (p + q)) for x in (p, q) if x > 0) / 2
+
+    found = {r.doc_id: r for r in quality_rules(docs).collect()}
+    for i, text, lang in rows:
+        if found[i].base_failed:
+            continue
+        counts = Counter(x.lower() for x in WORDS.findall(text))
+        shares = [counts[w] / counts.total() for w in references[lang].words]
+        expected = sum(part(p, q) for p, q in zip([*shares, 1 - sum(shares)], references[lang].word_p, strict=True))
+        assert abs(found[i].word_divergence - expected) < 1e-9
+    assert sum(not r.base_failed for r in found.values()) > 40
+
+
 # ------------------------------------------------------------------------------ spelling variants
 
 

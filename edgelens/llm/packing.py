@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 import unicodedata
 import zlib
 from array import array
@@ -89,7 +90,17 @@ def pack_documents(
 
 _SPACES = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else _SPACES[i] for i in range(256))
+#: Small letters up to the Cyrillic ones that normalising leaves as they are, whatever their neighbours.
+_LETTERS = "".join(
+    c for c in map(chr, range(ord("a"), 0x530)) if c.isalpha() and c.lower() == c and unicodedata.is_normalized("NFC", c)
+)
+#: Chunks of these letters and of ASCII digits and marks are cut here as ``_SPLIT`` cuts them.
+_CUTTABLE = re.compile(f"[!-@\\[-`{{-~{_LETTERS}]+")
+_CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+#: Without the apostrophe, which may begin a suffix.
 _MARKS = bytes(i for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'")
+#: The characters that stand for bytes in the model, by the characters of those code points.
+_BYTES = {i: 256 + n for n, i in enumerate([*range(33), *range(127, 161), 173])}
 _ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
 #: How a tokenizer is set up whose chunks may be encoded one by one. It lower-cases,
@@ -119,8 +130,9 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Encodes texts to their ids, without special tokens added, as little-endian 32-bit numbers.
 
     With a tokenizer that is set up for it (``in_chunks``), each chunk between ASCII white space,
-    with A-Z as a-z, is encoded once and remembered; the chunks that a whole batch of texts brings
-    anew are encoded in one call. With any other, texts are encoded as they are.
+    with A-Z as a-z, is encoded once and remembered. A chunk that needs no normalising is cut into
+    words, digits and marks, which are remembered too; the tokenizer takes any other whole. With
+    any other tokenizer, texts are encoded as they are.
     """
     if path in _ENCODERS:
         return _ENCODERS[path]
@@ -135,47 +147,39 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     if not in_chunks(path):
         _ENCODERS[path] = plainly
         return plainly
-    known: dict[bytes, bytes] = {b"": b""}
-
-    def parts(chunk: bytes) -> tuple[bytes, ...]:
-        """ASCII marks after letters are encoded apart, as the tokenizer does, which normalises
-        first; an apostrophe may begin a suffix and stays."""
-        word = chunk.rstrip(_MARKS)
-        if word and len(word) < len(chunk) and unicodedata.normalize("NFC", word.decode()).lower().isalpha():
-            return word, chunk[len(word) :]
-        return (chunk,)
-
-    def learn(missing: set[bytes]) -> None:
-        own = {x: parts(x) for x in missing}
-        new = {y for x in own.values() for y in x if y not in known}
-        # what is only lower-case ASCII letters is one word to the tokenizer, unchanged
-        words = [x for x in new if x.isalpha() and x.islower()]
-        known.update((x, array("I", [y.id for y in tokenizer.model.tokenize(x.decode())]).tobytes()) for x in words)
-        rest = list(new.difference(words))
-        known.update(zip(rest, plainly([x.decode() for x in rest]), strict=True))
-        known.update((x, b"".join([known[y] for y in ys])) for x, ys in own.items() if len(ys) > 1)
+    tokenize = tokenizer.model.tokenize  # each look-up of the model copies it
+
+    def encode_word(word: bytes) -> bytes:
+        """A word, digit or run of marks, as the tokenizer cuts and normalises them."""
+        told = tokenize(word.decode() if word.isascii() else word.decode("latin-1").translate(_BYTES))
+        return array("I", [x.id for x in told]).tobytes()
+
+    class Known(dict):
+        """Ids by chunk, encoded when first asked for; long chunks are not remembered."""
+
+        def __missing__(self, chunk: bytes) -> bytes:
+            word = chunk.rstrip(_MARKS)
+            if word.isalpha() and word.islower():  # ASCII letters, and the marks that end most chunks
+                ids = self[word] + self[chunk[len(word) :]] if len(word) < len(chunk) else encode_word(word)
+            elif "<|" not in (text := chunk.decode()) and _CUTTABLE.fullmatch(text):
+                words = [x.encode() for x in _CUT.findall(text)]
+                ids = b"".join([self[x] if len(words) > 1 else encode_word(x) for x in words])
+            else:
+                ids = plainly([text])[0]
+            if len(chunk) <= 64:
+                self[chunk] = ids
+            return ids
+
+    known = Known()
 
     def encode(texts: list[str]) -> list[bytes]:
-        if len(known) > REMEMBER:
-            known.clear()
-            known[b""] = b""
-        out: list[bytes] = []
-        later: dict[int, list[bytes]] = {}
+        out = []
         for text in texts:
+            if len(known) > REMEMBER:
+                known.clear()
             # a special token is written in lower case; nothing else may become one
             chunks = text.encode().translate(_SPACES if "<|" in text else _LOWER).split(b" ")
-            try:
-                out.append(b"".join(map(known.__getitem__, chunks)))
-            except KeyError:
-                later[len(out)] = chunks
-                out.append(b"")
-        missing = {x for chunks in later.values() for x in chunks if x not in known}
-        learn(missing)
-        for i, chunks in later.items():
-            out[i] = b"".join(map(known.__getitem__, chunks))
-        for x in missing:
-            if len(x) > 64:
-                known.pop(x, None)
+            out.append(b"".join(map(known.__getitem__, chunks)))
         return out
 
     _ENCODERS[path] = encode

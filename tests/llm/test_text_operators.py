@@ -209,6 +209,35 @@ def test_chunks_are_encoded_as_in_their_text():
         assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_every_letter_that_is_cut_here_is_encoded_as_by_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    from edgelens.llm.packing import encoder
+
+    tokenizer, rng = Tokenizer.from_file(default_tokenizer()), np.random.default_rng(4)
+    letters = [chr(i) for i in range(0x21, 0x600)]
+    texts = [x for c in letters for x in (c, f"a{c}b.", f"{c}.'s{c}<{c}")]
+    texts += ["".join(rng.choice(letters[: 94 if i % 2 else None], 6)) for i in range(4000)]
+    for text, ids in zip(texts, encoder(default_tokenizer())(texts), strict=True):
+        assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_each_word_digit_and_mark_is_encoded_once():
+    """Chunks of small letters, digits and ASCII marks never go through the whole tokenizer."""
+    from edgelens.llm import packing
+
+    packing._ENCODERS.pop(default_tokenizer(), None)
+    encode, calls = packing.encoder(default_tokenizer()), collections.Counter()
+    texts = ["word. word, (word) \u00e9cole!! (\u00e9cole) 1969 9/6 'tis it's", "Word WORD, 1-9 \u00e9cole"]
+    sys.setprofile(lambda frame, event, told: calls.update([told.__name__]) if event == "c_call" else None)
+    try:
+        encode(texts)
+    finally:
+        sys.setprofile(None)
+    pieces = ["word", ".", ",", "(", ")", "\u00e9cole", "!!", "1", "9", "6", "/", "'t", "is", "it", "'s", "-"]
+    assert calls["encode_batch_fast"] == 0 and calls["tokenize"] == len(pieces)
+
+
 def test_token_counts_against_the_tokenizer(docs, texts, odd):
     from tokenizers import Tokenizer, models
 
